@@ -1 +1,147 @@
-"""Registered queries (filled in below)."""
+"""Registered queries over fitted models.
+
+ALS and the perceptron are iterative solvers: their outputs have no SQL
+equivalent, so these queries get a rows-only check, except the catalogue
+scorer over the ``embeddings`` table, whose exact top-k DuckDB reproduces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfwise.operators import als, ids, neural, prep, scoring, split
+from shelfwise.plans.catalog import K, register
+from shelfwise.plans.pipelines import run_als, run_neural, run_serving
+from shelfwise.schema import ITEM, RATING, USER
+from shelfwise.sources import tables
+
+
+def indexed_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """F1 with ids through the J1 dictionaries (ALS needs the int range),
+    split 80/20 by pair hash."""
+    raw = tables.raw_interactions(spark, sf_dir)
+    user_dict = ids.build_dictionary(raw, USER)
+    item_dict = ids.build_dictionary(raw, ITEM)
+    indexed = ids.index_interactions(raw, user_dict, item_dict)
+    return split.train_test_split(indexed)
+
+
+def fitted(spark: SparkSession, sf_dir: str, rank: int = 10):
+    parts = indexed_parts(spark, sf_dir)
+    return als.fit(parts["train"], als.AlsParams(rank=rank)), parts
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 end to end; the one-row metric report."""
+    return run_als(tables.raw_interactions(spark, sf_dir), K).report
+
+
+@register("als_metric_report")
+def als_metric_report(spark, sf_dir):
+    """Metric report of the ALS pipeline."""
+    return flagship(spark, sf_dir)
+
+
+@register("als_factors")
+def als_factors(spark, sf_dir):
+    """Learned user and item factors ``(side, id, features)``."""
+    model, _ = fitted(spark, sf_dir)
+    uf, itf = als.factors(model)
+    return uf.select(F.lit("user").alias("side"), F.col(USER).alias("id"), "features").unionByName(
+        itf.select(F.lit("item").alias("side"), F.col(ITEM).alias("id"), "features")
+    )
+
+
+@register("als_predictions")
+def als_predictions(spark, sf_dir):
+    """Predicted rating of each test pair; cold pairs dropped."""
+    model, parts = fitted(spark, sf_dir)
+    return als.predict(model, parts["test"].select(USER, ITEM, RATING))
+
+
+@register("als_recommendations")
+def als_recommendations(spark, sf_dir):
+    """F3 + C6 + C4: ALS top-k for the test users, ids restored to strings."""
+    run = run_als(tables.raw_interactions(spark, sf_dir), K)
+    return run.recommendations
+
+
+@register("als_topk_unseen")
+def als_topk_unseen(spark, sf_dir):
+    """C5 + B13 + F2: exact ALS top-k over the whole catalogue for every test
+    user, items the user rated in train excluded before the cut."""
+    model, parts = fitted(spark, sf_dir)
+    uf, itf = als.factors(model)
+    return run_serving(parts["test"], uf, itf, K, exclusions=parts["train"].select(USER, ITEM))
+
+
+@register(
+    "score_catalogue",
+    f"""SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
+  SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+         list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score,
+         CAST(row_number() OVER (PARTITION BY u.vec_id
+              ORDER BY list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) DESC,
+                       i.vec_id) AS INTEGER) AS rank
+  FROM embeddings u, embeddings i) WHERE rank <= {K}""",
+)
+def score_catalogue(spark, sf_dir):
+    """C5/J5 with a dot product: every vector of ``embeddings`` scored
+    against the whole catalogue of vectors, top-k per vector, blocked."""
+    vec = tables.vectors(spark, sf_dir)
+    users = vec.select(F.col("vec_id").alias(USER), F.col("embedding").alias("features"))
+    items = vec.select(F.col("vec_id").alias(ITEM), F.col("embedding").alias("features"))
+    out = scoring.topk_vectors(users, items, K)
+    return out.withColumn("rank", F.col("rank").cast("int"))
+
+
+def indexed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 over the dictionary-indexed interactions (the neural path's input)."""
+    raw = tables.raw_interactions(spark, sf_dir)
+    user_dict = ids.build_dictionary(raw, USER)
+    item_dict = ids.build_dictionary(raw, ITEM)
+    return prep.user_item_matrix(ids.index_interactions(raw, user_dict, item_dict))
+
+
+def _neural(spark, sf_dir, candidates=(neural.MlpParams(),)):
+    matrix = indexed_matrix(spark, sf_dir)
+    return matrix, run_neural(matrix, candidates, rank=16)
+
+
+@register("mlp_score")
+def mlp_score(spark, sf_dir):
+    """Class-1 probability of every test pair from the perceptron over
+    ALS factors (fitted on the train part)."""
+    matrix, run = _neural(spark, sf_dir)
+    test = split.train_val_test_split(matrix)["test"]
+    feats = neural.with_label(neural.pair_features(test, run.user_factors, run.item_factors))
+    return neural.score(run.model, feats).select(USER, ITEM, RATING, "label", "probability", "prediction")
+
+
+@register("mlp_evaluate")
+def mlp_evaluate(spark, sf_dir):
+    """Held-out cross-entropy and accuracy of the selected perceptron."""
+    return _neural(spark, sf_dir)[1].test_metrics
+
+
+@register("select_model")
+def select_model(spark, sf_dir):
+    """Candidates scored on the validation part; the lowest loss wins."""
+    candidates = (
+        neural.MlpParams(hidden=(64, 32, 16, 8), max_iter=20),
+        neural.MlpParams(hidden=(16, 8), max_iter=20),
+    )
+    return _neural(spark, sf_dir, candidates)[1].candidates
+
+
+@register("mlp_topk")
+def mlp_topk(spark, sf_dir):
+    """Every test user's top-k over the whole catalogue by the
+    perceptron, items seen in train excluded; blocked NumPy scoring."""
+    matrix, run = _neural(spark, sf_dir)
+    parts = split.train_val_test_split(matrix)
+    return run_serving(
+        parts["test"], run.user_factors, run.item_factors, K,
+        exclusions=parts["train"].select(USER, ITEM), model=run.model,
+    )
