@@ -1 +1,96 @@
-"""Registered queries (filled in below)."""
+"""Registered streaming queries.
+
+Each one derives its input files from the given tables with Spark, runs the
+stream to completion (``availableNow``) into a sink under the shared
+checkpoint folder, and returns the sink's contents as a DataFrame. With one
+micro-batch over all files, results equal the batch operators', which is what
+the oracles check; late-data behaviour is covered by the tests.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfwise.functions.columns import epoch_to_ts
+from shelfwise.operators import als
+from shelfwise.plans.catalog import K, register
+from shelfwise.plans import fixtures_sql as S
+from shelfwise.plans.model_queries import indexed_parts
+from shelfwise.schema import ITEM, RAW_INTERACTIONS, USER
+from shelfwise.sources import tables
+from shelfwise.streaming import ingest
+
+
+def _landed(spark: SparkSession, df: DataFrame, name: str, files: int = 8) -> tuple[str, str]:
+    """Write ``df`` as a landing folder of ``files`` parquet files; returns
+    (landing path, run folder)."""
+    run = ingest.run_dir(spark, name)
+    landing = os.path.join(run, "landing")
+    df.repartition(files).write.parquet(landing)
+    return landing, run
+
+
+@register(
+    "stream_dedupe",
+    S.with_ctes(S.INTERACTIONS, S.DIRTY, S.RAW_DIRTY)
+    + """SELECT DISTINCT user_id, item_id, "timestamp" FROM raw_dirty WHERE rating IS NOT NULL""",
+)
+def stream_dedupe(spark, sf_dir):
+    """K1 + K2: raw interactions with copies arrive as files; null ratings
+    and duplicate keys within the watermark are dropped."""
+    landing, run = _landed(spark, tables.raw_form(tables.dirty(spark, sf_dir)), "dedupe")
+    stream = ingest.with_event_time(ingest.interaction_stream(spark, landing, RAW_INTERACTIONS))
+    deduped = ingest.dedupe_stream(stream, [USER, ITEM, "timestamp"], delay="1 hour")
+    out = os.path.join(run, "out")
+    q = ingest.write_stream_parquet(deduped, out, os.path.join(run, "checkpoint"))
+    q.awaitTermination()
+    return spark.read.parquet(out).select(USER, ITEM, "timestamp")
+
+
+@register(
+    "stream_activity",
+    S.with_ctes(S.INTERACTIONS)
+    + """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n,
+       round(avg(CAST(rating AS DOUBLE)), 6) AS mean_rating
+FROM interactions GROUP BY 1""",
+)
+def stream_activity(spark, sf_dir):
+    """K5 streaming: one-day tumbling windows with a watermark, update
+    mode, final value per window."""
+    landing, run = _landed(spark, tables.raw_interactions(spark, sf_dir), "activity")
+    stream = ingest.with_event_time(ingest.interaction_stream(spark, landing, RAW_INTERACTIONS))
+    agg = ingest.activity_stream(stream, "1 day", delay="1 day").drop("users")
+    out = os.path.join(run, "out")
+    q = ingest.write_stream_batches(agg, out, os.path.join(run, "checkpoint"))
+    q.awaitTermination()
+    final = ingest.latest_per_key(spark, out, ["window_start"])
+    # The window start is an instant; report it as UTC wall-clock time
+    # whatever the session time zone.
+    return final.select(
+        epoch_to_ts(F.unix_seconds(F.col("window_start"))).alias("window_start"),
+        "n",
+        "mean_rating",
+    )
+
+
+@register("stream_topk_refresh")
+def stream_topk_refresh(spark, sf_dir):
+    """K3: test interactions stream in; each micro-batch refreshes the exact
+    top-k (train items excluded) of the users it touched."""
+    parts = indexed_parts(spark, sf_dir)
+    model = als.fit(parts["train"])
+    uf, itf = als.factors(model)
+    uf, itf = uf.persist(), itf.persist()
+    landing, run = _landed(spark, parts["test"], "refresh", files=4)
+    stream = spark.readStream.schema(spark.read.parquet(landing).schema).option(
+        "maxFilesPerTrigger", 2
+    ).parquet(landing)
+    out = os.path.join(run, "recs")
+    q = ingest.refresh_topk(
+        stream, uf, itf, K, parts["train"].select(USER, ITEM), out, os.path.join(run, "checkpoint")
+    )
+    q.awaitTermination()
+    return ingest.latest_recommendations(spark, out)
