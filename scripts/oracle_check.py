@@ -6,61 +6,22 @@ row counts, column names, types and order-insensitive values.
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 import os
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
 from shelfwise.plans.catalog import oracle_sql, queries  # noqa: E402
+from shelfwise.plans.oracle import compare, duckdb_views  # noqa: E402
 from shelfwise.session import build_session  # noqa: E402
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
-
-SPARK_TO_DUCK = {
-    "bigint": "BIGINT",
-    "int": "INTEGER",
-    "double": "DOUBLE",
-    "string": "VARCHAR",
-    "timestamp_ntz": "TIMESTAMP",
-    "boolean": "BOOLEAN",
-    "float": "FLOAT",
-    "date": "DATE",
-}
-
-
-def canon(v):
-    if isinstance(v, float):
-        return repr(round(v, 9))
-    if isinstance(v, decimal.Decimal):
-        return repr(float(v))
-    if isinstance(v, (dt.datetime, dt.date)):
-        return v.isoformat()
-    if isinstance(v, (list, tuple)):
-        return tuple(canon(x) for x in v)
-    return v
-
-
-def rows_key(rows):
-    return sorted((tuple(canon(v) for v in r) for r in rows), key=repr)
-
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
     spark = build_session("local[8]", 8)
-    con = duckdb.connect()
-    for t in TABLES:
-        path = os.path.join(sf_dir, f"{t}.parquet")
-        if os.path.exists(path):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    con = duckdb_views(sf_dir)
     qs, sqls = queries(), oracle_sql()
     bad = 0
     for name, fn in qs.items():
@@ -69,46 +30,18 @@ def main(argv):
         t0 = time.time()
         try:
             sdf = fn(spark, sf_dir)
-            s_cols = [f.name for f in sdf.schema.fields]
-            s_types = [f.dataType.simpleString() for f in sdf.schema.fields]
-            s_rows = [tuple(r) for r in sdf.collect()]
+            if name not in sqls:
+                n = sdf.count()
+                print(f"ROWS  {name}: {n} rows, spark {time.time() - t0:.1f}s (no oracle)")
+                continue
+            problems = compare(sdf, sqls[name], con)
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL  {name}: spark error {type(e).__name__}: {str(e)[:400]}")
+            print(f"FAIL  {name}: {type(e).__name__}: {str(e)[:400]}")
             bad += 1
             continue
-        ts = time.time() - t0
-        if name not in sqls:
-            print(f"ROWS  {name}: {len(s_rows)} rows, spark {ts:.1f}s (no oracle)")
-            continue
-        try:
-            rel = con.execute(sqls[name])
-            d_cols = [d[0] for d in rel.description]
-            d_types = [str(d[1]) for d in rel.description]
-            d_rows = rel.fetchall()
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL  {name}: duckdb error {str(e)[:400]}")
-            bad += 1
-            continue
-        problems = []
-        if sorted(s_cols) != sorted(d_cols):
-            problems.append(f"columns spark={s_cols} duck={d_cols}")
-        else:
-            order = [d_cols.index(c) for c in s_cols]
-            d_rows = [tuple(r[i] for i in order) for r in d_rows]
-            st = [SPARK_TO_DUCK.get(t, t) for t in s_types]
-            dtp = [d_types[i] for i in order]
-            if st != dtp:
-                problems.append(f"types spark={st} duck={dtp}")
-        if len(s_rows) != len(d_rows):
-            problems.append(f"rows spark={len(s_rows)} duck={len(d_rows)}")
-        elif not problems:
-            a, b = rows_key(s_rows), rows_key(d_rows)
-            if a != b:
-                diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
-                problems.append(f"values differ, e.g. {diff}")
-        status = "OK  " if not problems else "DIFF"
         bad += bool(problems)
-        print(f"{status}  {name}: {len(s_rows)} rows, spark {ts:.1f}s {'; '.join(problems)}")
+        status = "OK  " if not problems else "DIFF"
+        print(f"{status}  {name}: {time.time() - t0:.1f}s {'; '.join(problems)}")
     spark.stop()
     return 1 if bad else 0
 
