@@ -14,11 +14,11 @@ scalar subqueries into one row, never by collecting rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import discount, ratio_or_zero
-from shelfwise.operators.ranking import rank_per_user_upto
+from shelfwise.operators.ranking import rank_groups_upto, rank_per_user_upto
 from shelfwise.schema import ITEM, RATING, USER
 
 EPS = 1e-7
@@ -45,18 +45,44 @@ def hits(top_k_recs: DataFrame, relevant: DataFrame) -> DataFrame:
     return top_k_recs.join(relevant, [USER, ITEM], "inner")
 
 
+def pair_counts(test: DataFrame, threshold: float = 4.0) -> DataFrame:
+    """Test rows per ``(user, item)`` pair: ``n_test`` rows with a rating,
+    ``n_rel`` of them relevant. A partial aggregate, so a pair copied millions of times is
+    combined map-side; joining recommendations to it never fans out."""
+    return test.groupBy(USER, ITEM).agg(
+        F.count(F.col(RATING)).alias("n_test"),
+        F.sum(F.when(F.col(RATING) >= F.lit(threshold), 1).otherwise(0)).alias("n_rel"),
+    )
+
+
+def _rec_side(recs: DataFrame, test: DataFrame, k: int, threshold: float, score: str) -> DataFrame:
+    """One row ``total_recs, hits, dcg``: the top-k recommendations left-joined
+    to the pair counts. ``hits`` and ``dcg`` equal the row-level joins of the
+    reference (each duplicate test row counts once more)."""
+    top = top_ranked(recs, k, score).select(USER, ITEM, "rec_rank")
+    j = top.join(pair_counts(test, threshold), [USER, ITEM], "left")
+    return j.agg(
+        F.count(F.lit(1)).alias("total_recs"),
+        F.coalesce(F.sum("n_rel"), F.lit(0)).alias("hits"),
+        F.coalesce(F.sum(F.coalesce(F.col("n_test"), F.lit(0)) * discount("rec_rank")), F.lit(0.0)).alias("dcg"),
+    )
+
+
+def _scalars(row: DataFrame, names) -> dict:
+    """Fields of a one-row DataFrame as scalar subqueries (one subquery)."""
+    packed = row.select(F.struct(*names).alias("_r")).scalar()
+    return {n: packed[n] for n in names}
+
+
 def precision_recall(recs: DataFrame, test: DataFrame, k: int = 10,
                      threshold: float = 4.0, score: str = "predicted_rating") -> DataFrame:
-    """J8/J9 (+D3, D5): one row ``hits, total_recs, total_relevant,
-    precision_at_k, recall_at_k``. Totals of recommendations and relevant
-    rows are counted before the join, which fans out on duplicate pairs."""
+    """J8/J9 (+C1, D3, D5): one row ``hits, total_recs, total_relevant,
+    precision_at_k, recall_at_k``, pooled over users; users without
+    recommendations still count in recall's denominator."""
     spark = recs.sparkSession
-    top = top_ranked(recs, k, score).select(USER, ITEM)
-    rel = relevant_items(test.select(USER, ITEM, RATING), threshold)
-    n_hits = hits(top, rel.select(USER, ITEM)).agg(F.count(F.lit(1))).scalar()
-    n_recs = top.agg(F.count(F.lit(1))).scalar()
-    n_rel = rel.agg(F.count(F.lit(1))).scalar()
-    row = _one_row(spark, hits=n_hits, total_recs=n_recs, total_relevant=n_rel)
+    rec = _scalars(_rec_side(recs, test, k, threshold, score), ["hits", "total_recs"])
+    n_rel = relevant_items(test, threshold).agg(F.count(F.lit(1))).scalar()
+    row = _one_row(spark, hits=rec["hits"], total_recs=rec["total_recs"], total_relevant=n_rel)
     return row.select(
         "*",
         ratio_or_zero("hits", "total_recs").alias("precision_at_k"),
@@ -77,32 +103,17 @@ def dcg(recs: DataFrame, test: DataFrame, k: int = 10, score: str = "predicted_r
 
 
 def ideal_dcg_terms(test: DataFrame, k: int = 10) -> DataFrame:
-    """IDCG terms (E2 + B8 + H2) without a row-level window.
-
-    ``rank()`` by rating gives all rows of one ``(user, rating)`` group the
-    same rank: 1 + rows of that user with a higher rating. So the rows are
-    first counted per ``(user, rating)`` (partial aggregate: a user with a
-    third of all rows is combined map-side), only the k highest ratings per
-    user are kept (``dense_rank <= k``: at most k groups can have rank <= k),
-    and the group's rank is a running sum over those <= k groups. Each
-    passing group contributes ``count / log2(rank + 1)``.
-    """
-    groups = test.groupBy(USER, RATING).agg(F.count(F.lit(1)).alias("_n"))
-    by_rating = Window.partitionBy(USER).orderBy(F.desc(RATING))
-    top_groups = groups.withColumn("_dr", F.dense_rank().over(by_rating)).filter(F.col("_dr") <= k)
-    before = by_rating.rowsBetween(Window.unboundedPreceding, -1)
-    ranked = top_groups.withColumn(
-        "test_rank", F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(1)
-    ).filter(F.col("test_rank") <= k)
-    return ranked.select(USER, RATING, "_n", "test_rank").withColumn(
-        "idcg", F.col("_n") * discount("test_rank")
-    )
+    """IDCG terms (E2 + B8 + H2) without a row-level window: the rank of each
+    ``(user, rating)`` group (see :func:`rank_groups_upto`); each group
+    passing ``rank <= k`` contributes ``count / log2(rank + 1)``."""
+    ranked = rank_groups_upto(test, RATING, k, out="test_rank")
+    return ranked.withColumn("idcg", F.col("_n") * discount("test_rank"))
 
 
 def ndcg(recs: DataFrame, test: DataFrame, k: int = 10, score: str = "predicted_rating") -> DataFrame:
-    """J10 (+D4, D5): one row ``dcg, idcg, ndcg_at_k``, pooled over users."""
+    """J10 (+C2, D4, D5): one row ``dcg, idcg, ndcg_at_k``, pooled over users."""
     spark = recs.sparkSession
-    total_dcg = dcg(recs, test, k, score).agg(F.coalesce(F.sum("gain"), F.lit(0.0))).scalar()
+    total_dcg = _rec_side(recs, test, k, 4.0, score).select("dcg").scalar()
     total_idcg = ideal_dcg_terms(test, k).agg(F.coalesce(F.sum("idcg"), F.lit(0.0))).scalar()
     row = _one_row(spark, dcg=total_dcg, idcg=total_idcg)
     return row.select("*", ratio_or_zero("dcg", "idcg").alias("ndcg_at_k"))
@@ -136,20 +147,22 @@ def binary_metrics(scored: DataFrame, label: str = "label",
 
 def metric_report(recs: DataFrame, test: DataFrame, predictions: DataFrame, k: int = 10,
                   threshold: float = 4.0, score: str = "predicted_rating") -> DataFrame:
-    """One row ``rmse, mae, precision_at_k, recall_at_k, ndcg_at_k, k``.
-
-    Persist ``recs`` and ``test`` first when they are expensive: each
-    appears in several of the one-row aggregates.
-    """
+    """One row ``rmse, mae, precision_at_k, recall_at_k, ndcg_at_k, k``
+    from four one-row aggregates (errors; recommendations x pair counts;
+    relevant rows; ideal DCG). Persist ``recs`` and ``test`` first when they
+    are expensive to recompute."""
     spark = recs.sparkSession
-    errors = rating_errors(predictions)
-    pr = precision_recall(recs, test, k, threshold, score)
-    nd = ndcg(recs, test, k, score)
-    return _one_row(
-        spark,
-        rmse=errors.select("rmse").scalar(),
-        mae=errors.select("mae").scalar(),
-        precision_at_k=pr.select("precision_at_k").scalar(),
-        recall_at_k=pr.select("recall_at_k").scalar(),
-        ndcg_at_k=nd.select("ndcg_at_k").scalar(),
-    ).withColumn("k", F.lit(k))
+    err = _scalars(rating_errors(predictions), ["rmse", "mae"])
+    rec = _scalars(_rec_side(recs, test, k, threshold, score), ["hits", "total_recs", "dcg"])
+    n_rel = relevant_items(test, threshold).agg(F.count(F.lit(1))).scalar()
+    idcg = ideal_dcg_terms(test, k).agg(F.coalesce(F.sum("idcg"), F.lit(0.0))).scalar()
+    row = _one_row(spark, rmse=err["rmse"], mae=err["mae"], hits=rec["hits"],
+                   total_recs=rec["total_recs"], dcg=rec["dcg"], total_relevant=n_rel, idcg=idcg)
+    return row.select(
+        "rmse",
+        "mae",
+        ratio_or_zero("hits", "total_recs").alias("precision_at_k"),
+        ratio_or_zero("hits", "total_relevant").alias("recall_at_k"),
+        ratio_or_zero("dcg", "idcg").alias("ndcg_at_k"),
+        F.lit(k).alias("k"),
+    )

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from shelfwise.schema import ITEM, RATING, SCORE, USER
 
-# Largest ranked-list prefix that may be broadcast to the candidate join.
-BROADCAST_PREFIX_ROWS = 2_000_000
-
-
 def topk_per_user(
     scores: DataFrame,
     k: int,
@@ -115,10 +111,11 @@ def topk_from_ranked_list(
     listed = ranked.select(item, score, pos).withColumn(
         "_blk", ((F.col(pos) - 1) / F.lit(block)).cast("bigint")
     )
-    max_need = need.agg(F.max("_need")).first()[0] or 0
-    if max_need <= BROADCAST_PREFIX_ROWS:
-        # Proven bound: only the first max_need positions can be used.
-        listed = F.broadcast(listed.filter(F.col(pos) <= F.lit(max_need)))
+    # Only the first max(need) positions can be used: a scalar subquery
+    # prunes the list inside the same query; AQE then measures the pruned
+    # list and broadcasts it when small, else sort-merge joins with its skew
+    # split on the hot first block.
+    listed = listed.filter(F.col(pos) <= need.agg(F.max("_need")).scalar())
     cand = need.join(
         listed, (need["_blk"] == listed["_blk"]) & (listed[pos] <= need["_need"]), "inner"
     ).select(user, item, score, pos)

@@ -384,7 +384,7 @@ def rank_recommendations(spark, sf_dir):
 def rank_truth(spark, sf_dir):
     """E2 + B8: rank() of test rows per user by rating; ties can let more
     than k rows pass."""
-    out = ranking.rank_per_user_upto(parts(spark, sf_dir)["test"], RATING, K, out="test_rank")
+    out = ranking.rank_rows_upto(parts(spark, sf_dir)["test"], RATING, K, out="test_rank")
     return out.withColumn("test_rank", F.col("test_rank").cast("int"))
 
 

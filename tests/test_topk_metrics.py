@@ -149,3 +149,15 @@ def test_rating_errors_and_binary_metrics(spark):
     eps = 1e-7
     want = -(math.log(0.9) + math.log(0.8) + math.log(0.4) + math.log(eps)) / 4
     assert b.bce == pytest.approx(want) and b.accuracy == 0.5
+
+
+def test_grouped_row_rank_equals_window_rank(spark):
+    from shelfwise.operators.ranking import rank_per_user_upto, rank_rows_upto
+
+    rnd = random.Random(7)
+    rows = [(u, i, float(rnd.randint(1, 5))) for u in range(15) for i in range(rnd.randint(0, 25))]
+    rows += [(99, i, 5.0) for i in range(40)]  # one user, all tied: every row passes
+    df = spark.createDataFrame(rows, TEST)
+    a = sorted(tuple(r) for r in rank_per_user_upto(df, "rating", 3, out="r").collect())
+    b = sorted(tuple(r) for r in rank_rows_upto(df, "rating", 3, out="r").select(*df.columns, "r").collect())
+    assert a == b and sum(1 for r in a if r[0] == 99) == 40
