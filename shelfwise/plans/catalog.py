@@ -411,6 +411,22 @@ def hits(spark, sf_dir):
     return metrics.hits(top, metrics.relevant_items(parts(spark, sf_dir)["test"]))
 
 
+@register(
+    "dcg_gains",
+    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TRAIN, S.TEST, S.TEST_USERS, S.popular(K), S.RECS,
+                S.top_recs(K))
+    + """SELECT r.user_id, r.item_id, r.rec_rank,
+       round(CASE WHEN t.rating IS NOT NULL THEN 1.0 / log2(r.rec_rank + 1) ELSE 0 END, 6) AS gain
+FROM top_recs r LEFT JOIN test t ON r.user_id = t.user_id AND r.item_id = t.item_id""",
+)
+def dcg_gains(spark, sf_dir):
+    """C2 + B9 + H2: top-k recommendations left-joined to the test rows;
+    a matched row gains 1/log2(rank + 1), an unmatched one 0."""
+    recs = popular_recs(spark, sf_dir).drop("rank")
+    out = metrics.dcg(recs, parts(spark, sf_dir)["test"], K)
+    return out.withColumn("rec_rank", F.col("rec_rank").cast("int"))
+
+
 _PR_SQL = f"""SELECT hits, total_recs, total_relevant,
        CASE WHEN total_recs > 0 THEN round(hits / total_recs, 6) ELSE 0.0 END AS precision_at_k,
        CASE WHEN total_relevant > 0 THEN round(hits / total_relevant, 6) ELSE 0.0 END AS recall_at_k

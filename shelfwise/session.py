@@ -50,13 +50,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when nothing is
-    configured (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``. Only a local-mode session
+    with nothing configured (tests) falls back to a fresh scratch folder; on
+    a cluster a machine-local folder would not survive a lost executor, so an
+    unset setting is an error there."""
     configured = checkpoint_dir(spark)
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
     local = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

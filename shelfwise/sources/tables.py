@@ -43,7 +43,8 @@ def read_table(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """One of the given parquet tables (columns are pruned by the queries)."""
+    return read_table(spark, table_path(sf_dir, name))
 
 
 def rating_from_quantity(quantity: Column) -> Column:

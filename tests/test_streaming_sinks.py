@@ -113,3 +113,17 @@ def test_refresh_topk_stream(spark, scratch, n):
     recs = queries()["stream_topk_refresh"](spark, SF_SMALL)
     per_user = recs.groupBy("user_id").count().agg(F.max("count")).first()[0]
     assert per_user <= 10
+
+
+def test_preprocess_pipeline_writes_both_tables(spark, scratch):
+    from shelfwise.plans.pipelines import run_preprocess
+
+    raw = tables.raw_form(tables.dirty(spark, SF_SMALL))
+    out = os.path.join(scratch, "p2")
+    clean, matrix = run_preprocess(raw, out, buckets=4)
+    back = spark.read.parquet(os.path.join(out, "interactions"))
+    assert back.count() == clean.count()
+    assert back.filter(F.col("rating").isNull()).count() == 0
+    assert back.groupBy("user_id", "item_id", "timestamp").count().filter("count > 1").count() == 0
+    m = spark.read.parquet(os.path.join(out, "user_item_matrix"))
+    assert m.count() == matrix.count() == clean.select("user_id", "item_id").distinct().count()
