@@ -12,11 +12,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from shelfwise.operators import als, ids, metrics, neural, prep, scoring, split
-from shelfwise.schema import ITEM, RATING, USER
+from shelfwise.schema import ITEM, USER
 from shelfwise.sources import sinks
 
 
@@ -43,6 +42,7 @@ def run_als(raw: DataFrame, k: int = 10, params: als.AlsParams = als.AlsParams()
     predictions = als.predict(model, test)
     report = metrics.metric_report(recs_idx, test, predictions, k).persist()
     report.count()
+    indexed.unpersist()
     recs = ids.decode(ids.decode(recs_idx, user_dict, USER), item_dict, ITEM)
     if out_dir is not None:
         sinks.write_parquet(recs, f"{out_dir}/recommendations")
@@ -113,11 +113,3 @@ def run_serving(users: DataFrame, user_factors: DataFrame, item_factors: DataFra
         sinks.write_table(out, out_path, fmt, bucket_user=USER)
     return out
 
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
-def planted_ratings(df: DataFrame) -> DataFrame:
-    """F4 rule on any int-id interactions (model quality tests)."""
-    return df.withColumn(RATING, (F.lit(1) + ((F.col(USER) % 5 + F.col(ITEM) % 5) % 5)).cast("int"))
