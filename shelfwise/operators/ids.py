@@ -42,13 +42,17 @@ def dense_index(
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    # The range sampling and the checkpoint both read the input: keep it
+    # cached for those two passes only.
+    source = df.persist()
     placed = (
-        df.repartitionByRange(n, *order_cols)
+        source.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
+    source.unpersist()
     starts = placed.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )
