@@ -36,18 +36,21 @@ def _landed(spark: SparkSession, df: DataFrame, name: str, files: int = 8) -> tu
 @register(
     "stream_dedupe",
     S.with_ctes(S.INTERACTIONS, S.DIRTY, S.RAW_DIRTY)
-    + """SELECT DISTINCT user_id, item_id, "timestamp" FROM raw_dirty WHERE rating IS NOT NULL""",
+    + """SELECT user_id, item_id, max(rating) AS rating, "timestamp" FROM raw_dirty
+WHERE rating IS NOT NULL GROUP BY user_id, item_id, "timestamp" """,
 )
 def stream_dedupe(spark, sf_dir):
-    """K1 + K2: raw interactions with copies arrive as files; null ratings
-    and duplicate keys within the watermark are dropped."""
+    """K1 + K2: raw interactions with copies and null ratings arrive as
+    files; one row per key survives (highest rating), copies combined
+    map-side, late rows dropped by the watermark."""
     landing, run = _landed(spark, tables.raw_form(tables.dirty(spark, sf_dir)), "dedupe")
     stream = ingest.with_event_time(ingest.interaction_stream(spark, landing, RAW_INTERACTIONS))
-    deduped = ingest.dedupe_stream(stream, [USER, ITEM, "timestamp"], delay="1 hour")
+    deduped = ingest.dedupe_stream_combined(stream, [USER, ITEM, "timestamp"], delay="1 hour")
     out = os.path.join(run, "out")
-    q = ingest.write_stream_parquet(deduped, out, os.path.join(run, "checkpoint"))
+    q = ingest.write_stream_batches(deduped, out, os.path.join(run, "checkpoint"))
     q.awaitTermination()
-    return spark.read.parquet(out).select(USER, ITEM, "timestamp")
+    final = ingest.latest_per_key(spark, out, [USER, ITEM, "timestamp"])
+    return final.select(USER, ITEM, "rating", "timestamp")
 
 
 @register(

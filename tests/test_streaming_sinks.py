@@ -127,3 +127,27 @@ def test_preprocess_pipeline_writes_both_tables(spark, scratch):
     assert back.groupBy("user_id", "item_id", "timestamp").count().filter("count > 1").count() == 0
     m = spark.read.parquet(os.path.join(out, "user_item_matrix"))
     assert m.count() == matrix.count() == clean.select("user_id", "item_id").distinct().count()
+
+
+def test_combined_stream_dedupe_keeps_best_copy_and_drops_late_rows(spark, scratch):
+    base = os.path.join(scratch, "dedupe_combined")
+    landing = os.path.join(base, "landing")
+    t0 = 1_700_000_000
+    _land(spark, landing, [("u", "a", 3, t0)] + [("u", "a", 4, t0)] * 50)
+    stream = ingest.with_event_time(
+        ingest.interaction_stream(spark, landing, RAW_INTERACTIONS, max_files_per_trigger=1)
+    )
+    agg = ingest.dedupe_stream_combined(stream, ["user_id", "item_id", "timestamp"], delay="10 minutes")
+    out = os.path.join(base, "out")
+    q = ingest.write_stream_batches(agg, out, os.path.join(base, "ck"), available_now=False)
+    q.processAllAvailable()
+    # a better copy of the same key within the watermark, and a newer event
+    _land(spark, landing, [("u", "a", 5, t0), ("u", "c", 1, t0 + 7200)])
+    q.processAllAvailable()
+    # far behind the watermark now: dropped as late
+    _land(spark, landing, [("u", "d", 2, t0)])
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.item_id, r.rating) for r in ingest.latest_per_key(
+        spark, out, ["user_id", "item_id", "timestamp"]).collect())
+    assert got == [("a", 5), ("c", 1)]
