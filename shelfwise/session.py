@@ -7,7 +7,6 @@ Library functions never create a session: every operator takes DataFrames
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,9 +63,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)

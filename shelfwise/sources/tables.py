@@ -128,17 +128,3 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     unknown = base.filter(F.col(ITEM) % 13 == 0).withColumn(ITEM, F.lit(-1).cast("bigint"))
     return base.unionByName(copies).unionByName(null_rated).unionByName(unknown)
-
-
-def users_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue of users with string names (dictionary operators)."""
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias(USER), F.col("c_name").alias("name")
-    )
-
-
-def items_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue of items with string names (dictionary operators)."""
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias(ITEM), F.col("p_name").alias("name")
-    )

@@ -1,7 +1,8 @@
 """Upsert of interactions: latest row per key (K4).
 
 The reference's table writer promises "create or update" but overwrites.
-Here an upsert is a new snapshot: ``base UNION ALL changes``, one row per key,
+Here an upsert is a new snapshot (written with ``sources.sinks.write_table``):
+``base UNION ALL changes``, one row per key,
 the row with the greatest ``order`` columns winning. The survivor is picked
 by an aggregate of ``max(struct(order..., rest...))``, so a key with
 millions of versions is combined map-side rather than windowed in one task.
@@ -32,8 +33,3 @@ def upsert(
         .select(*keys, *[F.col("_best")[c].alias(c) for c in order + rest])
         .select(*cols)
     )
-
-
-def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write the merged snapshot as a new table version (overwrite)."""
-    df.write.format(fmt).mode("overwrite").save(path)

@@ -151,3 +151,13 @@ def test_combined_stream_dedupe_keeps_best_copy_and_drops_late_rows(spark, scrat
     got = sorted((r.item_id, r.rating) for r in ingest.latest_per_key(
         spark, out, ["user_id", "item_id", "timestamp"]).collect())
     assert got == [("a", 5), ("c", 1)]
+
+
+def test_json_dictionary_as_the_reference_writes_it(spark, scratch):
+    import json
+
+    path = os.path.join(scratch, "user_map.json")
+    with open(path, "w") as f:
+        json.dump({f"user_{i}": i for i in range(5)}, f)
+    got = sorted((r.key, r.idx) for r in sinks.read_json_dictionary(spark, path).collect())
+    assert got == [(f"user_{i}", i) for i in range(5)]
