@@ -106,7 +106,8 @@ def indexed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _neural(spark, sf_dir, candidates=(neural.MlpParams(),)):
     matrix = indexed_matrix(spark, sf_dir)
-    return matrix, run_neural(matrix, candidates, rank=16)
+    # rank 32: the reference embeds users and items in 32 dimensions.
+    return matrix, run_neural(matrix, candidates, rank=32)
 
 
 @register("mlp_score")
