@@ -1,6 +1,8 @@
 from shelfwise.functions.columns import (
     discount,
     epoch_to_ts,
+    instant_to_ntz,
+    ntz_to_instant,
     ratio_or_zero,
     run_stamp,
     split_bucket,
@@ -10,6 +12,8 @@ from shelfwise.functions.columns import (
 __all__ = [
     "discount",
     "epoch_to_ts",
+    "instant_to_ntz",
+    "ntz_to_instant",
     "ratio_or_zero",
     "run_stamp",
     "split_bucket",

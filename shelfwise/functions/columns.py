@@ -31,6 +31,19 @@ def ts_to_epoch(ts: str | Column) -> Column:
     return F.timestamp_diff("SECOND", F.expr(_EPOCH), _col(ts))
 
 
+def ntz_to_instant(ts: str | Column) -> Column:
+    """``timestamp_ntz`` read as UTC wall clock -> ``timestamp`` instant
+    (microseconds kept), independent of the session time zone. Watermarks
+    need the instant type."""
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _col(ts))
+    return F.timestamp_micros(micros)
+
+
+def instant_to_ntz(ts: str | Column) -> Column:
+    """``timestamp`` instant -> UTC wall-clock ``timestamp_ntz``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), F.expr(_EPOCH))
+
+
 def split_bucket(*cols: str | Column, buckets: int = 100) -> Column:
     """Deterministic bucket in ``[0, buckets)`` from the key columns.
 

@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import epoch_to_ts
+from shelfwise.functions.columns import epoch_to_ts, instant_to_ntz, ntz_to_instant
 from shelfwise.operators import als
 from shelfwise.plans.catalog import K, register
 from shelfwise.plans import fixtures_sql as S
@@ -97,3 +97,29 @@ def stream_topk_refresh(spark, sf_dir):
     )
     q.awaitTermination()
     return ingest.latest_recommendations(spark, out)
+
+
+@register(
+    "stream_event_activity",
+    """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
+       round(avg(value), 6) AS mean_value
+FROM events GROUP BY 1, 2""",
+)
+def stream_event_activity(spark, sf_dir):
+    """K1 + K5 on the ``events`` table as the stream source: hourly events
+    and mean value per event type, watermarked, update mode."""
+    from shelfwise.streaming.monitor import event_activity
+
+    landing, run = _landed(spark, tables.table(spark, sf_dir, "events"), "events", files=4)
+    schema = spark.read.parquet(landing).schema
+    stream = spark.readStream.schema(schema).parquet(landing).withColumn(
+        "event_time", ntz_to_instant(F.col("ts"))
+    )
+    agg = event_activity(stream.withWatermark("event_time", "1 hour"), "1 hour", ts="event_time")
+    out = os.path.join(run, "out")
+    q = ingest.write_stream_batches(agg, out, os.path.join(run, "checkpoint"))
+    q.awaitTermination()
+    final = ingest.latest_per_key(spark, out, ["window_start", "event_type"])
+    return final.select(
+        instant_to_ntz(F.col("window_start")).alias("window_start"), "event_type", "n", "mean_value"
+    )

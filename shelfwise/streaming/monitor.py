@@ -31,3 +31,13 @@ def tumbling_activity(
         )
         .select(F.col("w.start").alias("window_start"), "n", "mean_rating", "users")
     )
+
+
+def event_activity(events: DataFrame, width: str = "1 hour", ts: str = TS) -> DataFrame:
+    """Raw activity monitoring: events and mean ``value`` per tumbling
+    window and ``event_type`` (batch, or streaming with a watermark)."""
+    return (
+        events.groupBy(F.window(F.col(ts), width).alias("w"), F.col("event_type"))
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"))
+        .select(F.col("w.start").alias("window_start"), "event_type", "n", "mean_value")
+    )
