@@ -29,18 +29,24 @@ class AlsRun:
 
 
 def run_als(raw: DataFrame, k: int = 10, params: als.AlsParams = als.AlsParams(),
-            out_dir: str | None = None, mean_per_pair: bool = False) -> AlsRun:
+            out_dir: str | None = None, mean_per_pair: bool = False,
+            user_dictionary: DataFrame | None = None,
+            item_dictionary: DataFrame | None = None) -> AlsRun:
     """Dictionaries -> index -> 80/20 split -> ALS -> top-k for the test
     users -> ids restored -> metric report (-> sinks).
 
+    Dictionaries are built from the data (J1) unless given, e.g. the
+    reference's JSON id maps read with ``sinks.read_json_dictionary``; rows
+    whose id is missing from a given dictionary are dropped.
+
     ALS sees every training row, as in the reference (a repeated pair weighs
     more). ALS keeps each user's ratings in one block, so a user holding a
     large share of all rows makes one slow task; ``mean_per_pair=True``
     first collapses the training rows to one mean rating per pair (D1), which
     bounds every user by the catalogue size at the price of that weighting.
     """
-    user_dict = ids.build_dictionary(raw, USER)
-    item_dict = ids.build_dictionary(raw, ITEM)
+    user_dict = user_dictionary if user_dictionary is not None else ids.build_dictionary(raw, USER)
+    item_dict = item_dictionary if item_dictionary is not None else ids.build_dictionary(raw, ITEM)
     indexed = ids.index_interactions(raw, user_dict, item_dict).persist()
     parts = split.train_test_split(indexed)
     train, test = parts["train"], parts["test"]
@@ -109,14 +115,21 @@ def run_neural(matrix: DataFrame, candidates=(neural.MlpParams(),), rank: int =
 
 def run_serving(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int = 10,
                 exclusions: DataFrame | None = None, model: PipelineModel | None = None,
-                out_path: str | None = None, fmt: str = "parquet") -> DataFrame:
+                out_path: str | None = None, fmt: str = "parquet",
+                user_dictionary: DataFrame | None = None,
+                item_dictionary: DataFrame | None = None) -> DataFrame:
     """Top-k for every requested user in one job (F2), excluded items
     removed first (B13); users without factors get no rows (B14). With a
     neural ``model`` the catalogue is scored by the network (J5), else by the
-    factor dot product. Written partitioned by user bucket (A5)."""
+    factor dot product. Indexes are turned back into the original ids when
+    dictionaries are given (C4). Written partitioned by user bucket (A5)."""
     wanted = user_factors.join(users.select(USER).distinct(), USER, "left_semi")
     scorer = neural.scorer_of(model) if model is not None else scoring.DotScorer()
     recs = scoring.topk_vectors(wanted, item_factors, k, scorer, exclusions)
+    if user_dictionary is not None:
+        recs = ids.decode(recs, user_dictionary, USER)
+    if item_dictionary is not None:
+        recs = ids.decode(recs, item_dictionary, ITEM)
     out = sinks.served(recs)
     if out_path is not None:
         sinks.write_table(out, out_path, fmt, bucket_user=USER)
