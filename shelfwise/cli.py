@@ -16,17 +16,21 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import SparkSession
+if not __package__:  # run as a script (spark-submit shelfwise/cli.py ...)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from shelfwise.operators import als, ids
-from shelfwise.plans import pipelines
-from shelfwise.schema import ITEM, USER
-from shelfwise.session import ensure_checkpoint_dir
-from shelfwise.sources import sinks
-from shelfwise.sources.tables import read_table
+from pyspark.ml import PipelineModel  # noqa: E402
+from pyspark.ml.recommendation import ALSModel  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+
+from shelfwise.operators import als, ids  # noqa: E402
+from shelfwise.plans import pipelines  # noqa: E402
+from shelfwise.schema import ITEM, USER  # noqa: E402
+from shelfwise.session import ensure_checkpoint_dir  # noqa: E402
+from shelfwise.sources import sinks  # noqa: E402
+from shelfwise.sources.tables import read_table  # noqa: E402
 
 
 def _dictionary(spark: SparkSession, path: str | None):
