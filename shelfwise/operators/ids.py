@@ -40,14 +40,16 @@ def dense_index(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     # The range sampling and the checkpoint both read the input: keep it
     # cached for those two passes only.
     source = df.persist()
+    # Without an explicit count AQE sizes the range partitions (it only
+    # merges neighbouring ranges, so partition order is still key order).
+    ranged = (source.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else source.repartitionByRange(*order_cols))
     placed = (
-        source.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        ranged.sortWithinPartitions(*order_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
         .checkpoint(eager=True)
