@@ -161,3 +161,40 @@ def test_grouped_row_rank_equals_window_rank(spark):
     a = sorted(tuple(r) for r in rank_per_user_upto(df, "rating", 3, out="r").collect())
     b = sorted(tuple(r) for r in rank_rows_upto(df, "rating", 3, out="r").select(*df.columns, "r").collect())
     assert a == b and sum(1 for r in a if r[0] == 99) == 40
+
+
+def test_metric_report_matches_row_level_semantics_under_skew(spark):
+    """Reference semantics done literally in pandas (row-level rank windows,
+    fan-out joins) vs the pre-aggregated Spark operators, on data where one
+    user holds a third of the rows, test pairs repeat and ratings tie."""
+    import numpy as np
+    import pandas as pd
+
+    rnd = random.Random(11)
+    test_rows = []
+    for u in range(30):
+        n = 300 if u == 0 else rnd.randint(0, 20)  # user 0: about a third of all rows
+        for _ in range(n):
+            test_rows.append((u, rnd.randint(0, 40), float(rnd.randint(1, 5))))
+    test_rows += [(0, 3, 5.0)] * 25  # a pair copied many times
+    rec_rows = [(u, i, float(rnd.randint(0, 3))) for u in range(25) for i in rnd.sample(range(41), 10)]
+    k = 10
+    test = spark.createDataFrame(test_rows, TEST)
+    recs = spark.createDataFrame(rec_rows, RECS)
+    pred = spark.createDataFrame([(r, r - 0.5) for _, _, r in test_rows], "rating double, prediction double")
+    got = metrics.metric_report(recs, test, pred, k).first()
+
+    t = pd.DataFrame(test_rows, columns=["user_id", "item_id", "rating"])
+    r = pd.DataFrame(rec_rows, columns=["user_id", "item_id", "predicted_rating"])
+    r["rec_rank"] = r.groupby("user_id")["predicted_rating"].rank(method="min", ascending=False)
+    top = r[r.rec_rank <= k]
+    rel = t[t.rating >= 4]
+    hits = len(top.merge(rel, on=["user_id", "item_id"]))
+    t["test_rank"] = t.groupby("user_id")["rating"].rank(method="min", ascending=False)
+    joined = top.merge(t, on=["user_id", "item_id"], how="left", suffixes=("", "_t"))
+    dcg = float(np.where(joined.rating.notna(), 1 / np.log2(joined.rec_rank + 1), 0).sum())
+    idcg = float((1 / np.log2(t[t.test_rank <= k].test_rank + 1)).sum())
+    assert got.precision_at_k == pytest.approx(hits / len(top))
+    assert got.recall_at_k == pytest.approx(hits / len(rel))
+    assert got.ndcg_at_k == pytest.approx(dcg / idcg)
+    assert got.rmse == pytest.approx(0.5) and got.mae == pytest.approx(0.5)
