@@ -51,12 +51,14 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
         assert bad not in p, f"{name}: {bad}"
 
 
-def test_scorer_shuffles_each_side_once(spark):
+@pytest.mark.parametrize("users_per_bucket", [32_768, 50])
+def test_scorer_shuffles_each_side_once(spark, users_per_bucket):
     vec = tables.vectors(spark, SF_SMALL)
     users = vec.select(F.col("vec_id").alias("user_id"), F.col("embedding").alias("features"))
     items = vec.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("features"))
-    p = plan(scoring.topk_vectors(users, items, 5))
-    cogroup = p.index("FlatMapCoGroupsInPandas")
-    below = p[cogroup:]
-    # one repartition per side feeding the cogroup, nothing in between
-    assert below.count("Exchange hashpartitioning") == 2
+    p = plan(scoring.topk_vectors(users, items, 5, users_per_bucket=users_per_bucket))
+    below = p[p.index("FlatMapCoGroupsInPandas"):]
+    # one exchange per side feeding the cogroup, nothing in between
+    assert below.count("Exchange ") == 2
+    if users_per_bucket == 50:  # several groups: hash-placed by (bucket, block)
+        assert below.count("Exchange hashpartitioning") == 2
