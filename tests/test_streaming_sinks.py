@@ -199,3 +199,18 @@ def test_command_line_runs_the_four_pipelines_on_reference_inputs(spark, scratch
     assert served.filter(~F.col("item_id").startswith("item_")).count() == 0
     seen = raw.select("user_id", "item_id")
     assert served.join(seen, ["user_id", "item_id"], "left_semi").count() == 0
+
+
+def test_partitioned_sink_writes_few_files_per_directory(spark, scratch):
+    # Range-clustered on (bucket, keys): each task writes one or two
+    # directories, so files per directory stay near tasks / buckets.
+    import glob
+
+    df = tables.interactions(spark, SF_SMALL).repartition(8)
+    out = os.path.join(scratch, "layout")
+    sinks.write_table(df, out, bucket_user="user_id", buckets=4)
+    dirs = glob.glob(os.path.join(out, "user_bucket=*"))
+    assert len(dirs) == 4
+    per_dir = [len(glob.glob(os.path.join(d, "*.parquet"))) for d in dirs]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(per_dir) <= tasks + len(dirs)
