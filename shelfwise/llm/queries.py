@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_counts
+from . import lm_scoring, packing, substring_dedup, token_counts
 from .common import read_table
 
 
@@ -22,14 +23,49 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, _tokenizer("piece_bpe_32k.model"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack(docs, _tokenizer("word_bpe_49k.json"))
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), at AS (
+  SELECT doc_id, len(w) AS n, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13
+), win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS g FROM at
+), first AS (
+  SELECT g, min(doc_id) AS m FROM win GROUP BY g
+), gone AS (
+  SELECT DISTINCT doc_id, s + i AS p
+  FROM (SELECT doc_id, s, unnest(range(0, 13)) AS i FROM win JOIN first USING (g) WHERE m < doc_id)
+), word AS (
+  SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d
+), kept AS (
+  SELECT word.doc_id, count(*) AS n_kept, string_agg(x, ' ' ORDER BY p) AS kept
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY word.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op7_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_lm_scoring, op7_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_substring_dedup": OP2_SQL,
+    }
