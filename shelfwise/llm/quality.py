@@ -230,7 +230,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     fold = id_fold(F.col(id_col), FOLDS)
     plain = docs.select(F.col(id_col).alias("id"), fold.alias("fold"), F.col(text_col).cast("string").alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
-    stats = plain.mapInArrow(_statistics_of, f"id {kind}, fold int, stats array<double>")
+    stats = plain.mapInArrow(_statistics_of, f"id {kind}, fold long, stats array<double>")
     if keep:
         model = fit(stats, labels, label_id=label_id, label_col=label_col)
     else:
@@ -253,7 +253,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     if keep:
         schema = docs.schema.add("_score", "double")
         return slim.mapInArrow(score_texts, schema)
-    scored = stats.mapInArrow(score_stats, f"id {kind}, fold int, score double")
+    scored = stats.mapInArrow(score_stats, f"id {kind}, fold long, score double")
     return scored.select(
         F.col("id").alias(id_col), F.coalesce(F.col("fold") == HELD_OUT_FOLD, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))

@@ -81,10 +81,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-), at AS (
+), start AS (
   SELECT doc_id, len(w) AS n, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13
 ), win AS (
-  SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS g FROM at
+  SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS g FROM start
 ), first AS (
   SELECT g, min(doc_id) AS m FROM win GROUP BY g
 ), gone AS (
@@ -111,7 +111,7 @@ WITH line AS (
 ), rep AS (
   SELECT line.* FROM line SEMI JOIN often USING (x)
 ), pair AS (  -- the same line at an earlier place
-  SELECT a.doc_id, a.p, b.doc_id AS d2, a.p - b.p AS diag, length(a.x) AS chars
+  SELECT a.doc_id, a.p, b.doc_id AS d2, a.p - b.p AS diag, length(a.x) + 1 AS chars
   FROM rep a JOIN rep b ON a.x = b.x AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.p < a.p))
 ), island AS (  -- consecutive lines that match consecutive lines
   SELECT *, p - row_number() OVER (PARTITION BY doc_id, d2, diag ORDER BY p) AS i FROM pair
