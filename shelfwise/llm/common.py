@@ -50,6 +50,13 @@ def drop_staged(df: DataFrame) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """The columns ``id`` and ``text``. No alias or cast where none is needed:
+    it would keep Spark from seeing that two uses of a table are the same."""
+    is_text = text_col == "text" and docs.schema[text_col].dataType.simpleString() == "string"
+    return [F.col(id_col).alias("id"), F.col("text") if is_text else F.col(text_col).cast("string").alias("text")]
+
+
 def id_fold(id_col: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(folds))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, byte_slices, flat_words, ngram_hashes, word_hashes
+from .common import binary_values, byte_slices, flat_words, id_and_text, ngram_hashes, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -183,7 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     whole; repeated rows, equal items and null ids are reported each. Other
     columns are ignored; an empty table on either side gives no rows.
     """
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
     item_field = benchmark.schema[item_col].dataType
     item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_field.simpleString()]

@@ -41,8 +41,8 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")
     content = F.regexp_replace(F.concat(F.ltrim(plain), F.lit(" ")), _any(COMMON), "")
     spots = F.concat(F.lit(_MARK), F.regexp_replace(content, _any(ANCHORS), _MARK))
-    words = "[^ ]+" + f"(?: [^ ]+){{0,{chain - 1}}}"
-    chains = F.regexp_extract_all(spots, F.lit(f"{_MARK}(?=({words}))"), F.lit(1))
+    word = f"{_MARK}*[^ {_MARK}]+"  # with the marks of its own anchors
+    chains = F.regexp_extract_all(spots, F.lit(f"{_MARK}(?=({word}(?: {word}){{0,{chain - 1}}}))"), F.lit(1))
     hashes = F.transform(chains, lambda c: F.hash(F.translate(c, _MARK, "")))
     return F.array_sort(F.array_distinct(hashes))
 
@@ -122,7 +122,7 @@ def _neighbours(keys: DataFrame) -> DataFrame:
 
 
 def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, edited, hashes, next_hashes): each text, the text whose last
+    """(id, next_id, text, edited, hashes, next_hashes): each text, the text whose last
     third is replaced by the beginning of the next document's, and signatures."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     keyed = slim.select(F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id").alias("k2"), "id", "text")
@@ -132,19 +132,19 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     third = F.floor(F.col("n_chars") / 3).cast("int")
     asked = links.select(F.col("next.k1").alias("k1"), F.col("next.k2").alias("k2"),
                          F.col("k1").alias("for1"), F.col("k2").alias("for2"), third.alias("ask"))
-    one_each = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    one_each = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("id").alias("next_id"))
     given = one_each.join(asked, ["k1", "k2"]).select(
-        F.col("for1").alias("k1"), F.col("for2").alias("k2"),
+        F.col("for1").alias("k1"), F.col("for2").alias("k2"), "next_id",
         F.substring("text", F.lit(1), F.col("ask")).alias("begin"), signatures(F.col("text")).alias("next_hashes"))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     return (texts.join(given, ["k1", "k2"])
-            .select("id", "text", F.concat(F.substring("text", F.lit(1), n - cut), F.col("begin")).alias("edited"),
+            .select("id", "next_id", "text", F.concat(F.substring("text", F.lit(1), n - cut), F.col("begin")).alias("edited"),
                     signatures(F.col("text")).alias("hashes"), "next_hashes"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_chars, edited_text, fingerprint, edited_fingerprint,
+    """(doc_id, next_id, n_chars, edited_text, fingerprint, edited_fingerprint,
     n_signatures, near_edited, near_next), one row per input row.
 
     A null text counts as empty; an empty text, or one without letters and
@@ -155,7 +155,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     with_both = with_edited(docs, id_col, text_col).withColumn("edited_hashes", signatures(F.col("edited")))
     return with_both.select(
-        F.col("id").alias(id_col), F.length("text").cast("long").alias("n_chars"),
+        F.col("id").alias(id_col), "next_id", F.length("text").cast("long").alias("n_chars"),
         F.col("edited").alias("edited_text"),
         fingerprint(F.col("hashes")).alias("fingerprint"),
         fingerprint(F.col("edited_hashes")).alias("edited_fingerprint"),

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import id_and_text, staged
 
 MIN_CHARS = 60
 
@@ -101,7 +101,7 @@ def _runs(named: DataFrame, levels: int, min_chars: int) -> DataFrame:
 
 
 def _later_copies(runs: DataFrame) -> DataFrame:
-    place = F.struct("id", "k1", "k2", "pos")
+    place = F.struct("id", "k1", "k2", "pos", "high")  # all columns: both uses read one exchange
     dealt = runs.repartition("name")
     first = dealt.groupBy("name").agg(F.min(place).alias("first"))
     return dealt.join(first, "name").where(F.col("first") < place).select("k1", "k2", "pos", "high")
@@ -122,9 +122,9 @@ def _cut(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFra
     deleted ranges of their lines; ``rest`` holds the other columns."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
     rest = F.struct(*others) if others else F.lit(None).cast("void")
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), rest.alias("rest"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col), rest.alias("rest"))
     keyed = slim.select(F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id").alias("k2"), "id", "text", "rest")
-    lines = _repeated(_lines(keyed.where(F.col("text").isNotNull())))
+    lines = _repeated(staged(_lines(keyed.where(F.col("text").isNotNull())), "lines"))
     levels = min_chars.bit_length() - 1  # a line has a character at least, its end
     spans = _merged(_later_copies(_runs(staged(_named(lines, levels), "line-names"), levels, min_chars)))
     joined = keyed.join(spans, ["k1", "k2"], "left").select("id", "text", "rest", "spans")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import ensure_checkpoint_dir
 
-from .common import binary_values, byte_slices, id_fold, mix, run_starts, staged, word_hashes
+from .common import binary_values, byte_slices, id_and_text, id_fold, mix, staged, word_hashes
 
 BLOCK_BYTES = 8 << 20
 #: n-gram requests a range of hashes gets, about.
@@ -293,7 +293,7 @@ def lm_scores(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     slim = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+        *id_and_text(docs, id_col, text_col),
         F.coalesce(id_fold(F.col(id_col)) == HELD_OUT_FOLD, F.lit(False)).alias("held_out"))
     kind = slim.schema["id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

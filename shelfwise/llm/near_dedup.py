@@ -26,7 +26,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, byte_slices, flat_words, mix, ngram_hashes, run_starts, staged, word_hashes
+from .common import (
+    binary_values,
+    byte_slices,
+    flat_words,
+    id_and_text,
+    mix,
+    ngram_hashes,
+    run_starts,
+    staged,
+    word_hashes,
+)
 
 SHINGLE = 5
 PERCENT = 80
@@ -237,7 +247,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows that share an id, get the component of their own text. Other columns
     are ignored; an empty table gives no rows.
     """
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
     signed = staged(slim.mapInArrow(
         _signatures_of(shingle), f"id {kind}, n_shingles long, node binary, bands array<long>"), "signatures")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, binary_values, byte_slices, staged
+from .common import BoundedCache, binary_values, byte_slices, id_and_text, staged
 from .tokenizers_io import broadcast_model, tokenizer_of
 
 SEQUENCE = 4096
@@ -78,7 +78,10 @@ class _WordIds:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         self.words.trim()
         self.stems.trim()
-        whole = [not self.by_word or any(s in t for s in self.special) for t in texts]
+        whole = []
+        for t in texts:  # words are lower-cased before they are looked up
+            lower = t.lower()
+            whole.append(not self.by_word or any(s in lower for s in self.special))
         split = [None if w else t.split() for t, w in zip(texts, whole)]
         missing: set[bytes] = set()
         for words in split:
@@ -126,7 +129,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
                  *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals))],
                 ["id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
     return slim.mapInArrow(
         cut, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long"

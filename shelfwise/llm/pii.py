@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, byte_slices
+from .common import binary_values, byte_slices, id_and_text
 
 ROUNDS = 10
 KINDS = ("email", "phone", "card", "iban", "ssn", "ip", "date", "secret")
@@ -240,7 +240,7 @@ def pseudonyms(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: st
     repeated rows are kept, and equal rows get equal results. Other columns are
     ignored; an empty table gives no rows. A text is handled whole.
     """
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind_of_id = slim.schema["id"].dataType.simpleString()
 
     def replace(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import binary_values, byte_slices, id_fold, staged
+from .common import binary_values, byte_slices, id_and_text, id_fold, staged
 
 FOLDS, HELD_OUT_FOLD = 5, 0
 THRESHOLD = 0.3
@@ -226,7 +227,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     if keep:
         slim = docs.withColumn("_text", F.col(text_col).cast("string"))
     else:
-        slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        slim = docs.select(*id_and_text(docs, id_col, text_col))
     fold = id_fold(F.col(id_col), FOLDS)
     plain = docs.select(F.col(id_col).alias("id"), fold.alias("fold"), F.col(text_col).cast("string").alias("text"))
     kind = plain.schema["id"].dataType.simpleString()
@@ -251,7 +252,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
                                              ["id", "fold", "score"])
 
     if keep:
-        schema = docs.schema.add("_score", "double")
+        schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
         return slim.mapInArrow(score_texts, schema)
     scored = stats.mapInArrow(score_stats, f"id {kind}, fold long, score double")
     return scored.select(

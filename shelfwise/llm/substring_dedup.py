@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_values, byte_slices, flat_words, ngram_hashes, word_hashes
+from .common import binary_values, byte_slices, flat_words, id_and_text, ngram_hashes, word_hashes
 
 WINDOW = 13
 ANCHOR = 5
@@ -262,11 +262,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     they don't remove from one another. Repeats inside a document stay. Other
     columns are ignored; an empty table gives no rows.
     """
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
     known = slim.where(F.col("id").isNotNull())
     # one exchange each, read twice: anchors by anchor, texts by document
-    anchors = known.mapInArrow(_anchors_of(window, anchor), f"anchor long, id {kind}").repartition("anchor")
+    anchors = known.mapInArrow(_anchors_of(window, anchor), f"anchor long, id {kind}")
+    anchors = anchors.where("anchor is not null and id is not null").repartition("anchor")
     texts = known.withColumn("row", F.xxhash64("text")).repartition("id")
     shared = (anchors.groupBy("anchor")
               .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))

@@ -18,14 +18,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, binary_values, byte_slices
+from .common import BoundedCache, binary_values, byte_slices, id_and_text
 from .tokenizers_io import broadcast_model, sentencepiece_of, tokenizer_of
 
 OVER_LIMIT = 4096
 #: A word longer than this is cut further, at its line ends.
 LONG_SEGMENT = 16 << 10
+_MARK = "▁".encode()  # stands for a space inside the model
 _CUT = re.compile(rb"(?<=[^ ]) ")
-_LINE_CUT = re.compile(rb"(?<=[^\n])(?=\n)")
+_LINE_MARK = "▁".encode()  # stands for a space inside the model
+_CUT = re.compile(rb"(?<=[^\n])(?=\n)")
 
 
 class _PieceCounter:
@@ -52,7 +54,7 @@ class _PieceCounter:
     def segments(self, text: bytes) -> list[bytes]:
         """Pieces of a non-empty text that can be encoded one by one; the space
         before each piece but the first is dropped, as the encoder adds it."""
-        if not self.splits:
+        if not self.splits or _MARK in text:
             return [text]
         if b"  " in text or text[:1] == b" ":
             return _CUT.split(text)
@@ -125,7 +127,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([part.column("id"), sizes, tokens],
                                              ["id", "n_bytes", "n_tokens"])
 
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind_of_id = slim.schema["id"].dataType.simpleString()
     counted = slim.mapInArrow(count, f"id {kind_of_id}, n_bytes long, n_tokens long")
     return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens",
