@@ -42,7 +42,8 @@ SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 80, 8
 BINS = BANDS * ROWS
-#: Centers per bucket and round, after the first round's one.
+#: Centers per bucket in the second round (the first has one); twice as many in
+#: each round after it, so that the number of rounds is logarithmic.
 CENTERS = 8
 
 
@@ -202,14 +203,10 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         still = staged(dealt.join(wide, "key"), "buckets")
         if still.isEmpty():
             return comps
-        if round_ == 0:
-            tops = [F.min("node").alias("t0")]
-        else:  # the smallest node of each of CENTERS parts of a bucket
-            part = F.pmod(F.xxhash64("node"), F.lit(CENTERS))
-            tops = [F.min(F.when(part == j, F.col("node"))).alias(f"t{j}") for j in range(CENTERS)]
-        centers = (still.groupBy("key").agg(*tops)
-                   .select("key", F.explode(F.array(*[f"t{j}" for j in range(len(tops))])).alias("node"))
-                   .where("node is not null"))
+        # the smallest node of each of so many parts of a bucket
+        parts = 1 if round_ == 0 else CENTERS << (round_ - 1)
+        part = F.pmod(F.xxhash64("node"), F.lit(parts))
+        centers = still.groupBy("key", part.alias("part")).agg(F.min("node").alias("node")).drop("part")
         chosen = staged(still.join(centers, ["key", "node"]), "centers")
         pairs = (still.join(chosen.select("key", F.col("node").alias("b"), F.col("n").alias("nb"),
                                           F.col("c").alias("cb")), "key")

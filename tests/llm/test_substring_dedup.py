@@ -67,7 +67,8 @@ def test_automaton_matches_brute_force():
 
 def test_texts_and_anchors_move_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    df = sd.remove_repeats(frame(spark, [(1, "a b c")]))
+    text = " ".join(f"w{i}" for i in range(30))
+    df = sd.remove_repeats(frame(spark, [(1, text), (2, "x " + text), (3, "y " + text)]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     df.collect()
