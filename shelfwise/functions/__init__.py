@@ -5,7 +5,7 @@ from shelfwise.functions.columns import (
     ntz_to_instant,
     ratio_or_zero,
     run_stamp,
-    split_bucket,
+    split_hash,
     ts_to_epoch,
 )
 
@@ -16,6 +16,6 @@ __all__ = [
     "ntz_to_instant",
     "ratio_or_zero",
     "run_stamp",
-    "split_bucket",
+    "split_hash",
     "ts_to_epoch",
 ]

@@ -31,12 +31,16 @@ def ts_to_epoch(ts: str | Column) -> Column:
     return F.timestamp_diff("SECOND", F.expr(_EPOCH), _col(ts))
 
 
+def ts_to_micros(ts: str | Column) -> Column:
+    """``timestamp_ntz`` (UTC wall clock) -> epoch microseconds."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _col(ts))
+
+
 def ntz_to_instant(ts: str | Column) -> Column:
     """``timestamp_ntz`` read as UTC wall clock -> ``timestamp`` instant
     (microseconds kept), independent of the session time zone. Watermarks
     need the instant type."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _col(ts))
-    return F.timestamp_micros(micros)
+    return F.timestamp_micros(ts_to_micros(ts))
 
 
 def instant_to_ntz(ts: str | Column) -> Column:
@@ -44,17 +48,18 @@ def instant_to_ntz(ts: str | Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), F.expr(_EPOCH))
 
 
-def split_bucket(*cols: str | Column, buckets: int = 100) -> Column:
-    """Deterministic bucket in ``[0, buckets)`` from the key columns.
+SPLIT_RANGE = 1 << 32
+
+
+def split_hash(*cols: str | Column) -> Column:
+    """Deterministic hash in ``[0, 2**32)`` from the key columns.
 
     First 8 hex digits of ``md5(concat_ws(',', keys))`` read as an unsigned
-    integer, modulo ``buckets``. Independent of partitioning and of the
-    engine: DuckDB computes the same value with
-    ``('0x' || substr(md5(...), 1, 8))::BIGINT % buckets``.
+    integer. Independent of partitioning and of the engine: DuckDB computes
+    the same value with ``('0x' || substr(md5(...), 1, 8))::BIGINT``.
     """
     key = F.concat_ws(",", *[_col(c).cast("string") for c in cols])
-    head = F.substring(F.md5(key), 1, 8)
-    return (F.conv(head, 16, 10).cast("bigint") % F.lit(buckets)).cast("int")
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
 
 
 def discount(rank: str | Column) -> Column:

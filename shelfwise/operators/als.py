@@ -16,6 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators import scoring
 from shelfwise.schema import ITEM, RATING, USER
 from shelfwise.session import ensure_checkpoint_dir
 
@@ -68,16 +69,18 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 
 def recommend_for_users(model: ALSModel, users: DataFrame, k: int,
-                        user: str = USER) -> DataFrame:
-    """top-k per requested user, exploded to
-    ``(user_id, item_id, predicted_rating)``. Users unknown to the model get
-    no rows. Items the user rated are not excluded (see
-    :func:`shelfwise.operators.scoring.topk_dot` for exclusion lists)."""
-    nested = model.recommendForUserSubset(users.select(user).distinct(), k)
-    return nested.select(user, F.explode("recommendations").alias("rec")).select(
-        user,
-        F.col("rec." + ITEM).alias(ITEM),
-        F.col("rec." + RATING).alias("predicted_rating"),
+                        user: str = USER, exclusions: DataFrame | None = None) -> DataFrame:
+    """top-k per requested user, ``(user_id, item_id, predicted_rating)``,
+    by the blocked scorer (:func:`shelfwise.operators.scoring.topk_vectors`).
+    Users unknown to the model get no rows. Items the user rated stay in
+    unless ``exclusions`` lists them."""
+    user_factors, item_factors = factors(model)
+    wanted = user_factors.join(users.select(user).distinct(), user, "left_semi")
+    recs = scoring.topk_vectors(wanted, item_factors, k, exclusions=exclusions)
+    return recs.select(
+        F.col(USER).cast("int").alias(user),
+        F.col(ITEM).cast("int").alias(ITEM),
+        F.col("score").cast("float").alias("predicted_rating"),
     )
 
 

@@ -36,14 +36,19 @@ def dense_index(
     table is broadcast on a proven bound). The range-partitioned rows are
     checkpointed to the shared checkpoint folder first, so that a lost
     executor cannot re-run the range sampling with different bounds between
-    the count and the numbering. ``order`` must be a total order.
+    the count and the numbering; with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` (which the session
+    helper sets) Spark deletes it once nothing refers to it any more.
+    ``order`` must be a total order.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     # The range sampling and the checkpoint both read the input: keep it
-    # cached for those two passes only.
-    source = df.persist()
+    # cached for those two passes only, and leave a caller's cache alone.
+    level = df.storageLevel
+    cached = level.useMemory or level.useDisk
+    source = df if cached else df.persist()
     # Without an explicit count AQE sizes the range partitions (it only
     # merges neighbouring ranges, so partition order is still key order).
     ranged = (source.repartitionByRange(num_partitions, *order_cols) if num_partitions
@@ -54,7 +59,8 @@ def dense_index(
         .withColumn("_pos", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    source.unpersist()
+    if not cached:
+        source.unpersist()
     starts = placed.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )

@@ -14,7 +14,7 @@ scalar subqueries into one row, never by collecting rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import discount, ratio_or_zero
@@ -166,3 +166,44 @@ def metric_report(recs: DataFrame, test: DataFrame, predictions: DataFrame, k: i
         ratio_or_zero("dcg", "idcg").alias("ndcg_at_k"),
         F.lit(k).alias("k"),
     )
+
+
+def per_user_ranking(recs: DataFrame, test: DataFrame, k: int = 10, threshold: float = 4.0) -> DataFrame:
+    """One row per user with a relevant test item: ``n_rel, hits,
+    precision_at_k, recall_at_k, average_precision, reciprocal_rank,
+    ndcg_at_k``. ``recs`` holds ``(user, item, rank)`` with ranks from 1; an
+    item counts once, however many test rows it has. A user without
+    recommendations scores 0. At most k rows per user are grouped."""
+    relevant = relevant_items(test, threshold).select(USER, ITEM).distinct()
+    top = recs.where(F.col("rank") <= k).select(USER, ITEM, "rank")
+    judged = top.join(relevant.withColumn("_rel", F.lit(1)), [USER, ITEM], "left").withColumn(
+        "_rel", F.coalesce("_rel", F.lit(0)))
+    w = Window.partitionBy(USER).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    judged = judged.withColumn("_so_far", F.sum("_rel").over(w))
+    hit = F.col("_rel") == 1
+    own = judged.groupBy(USER).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_rel").alias("hits"), F.min(F.when(hit, F.col("rank"))).alias("_first"),
+        F.sum(F.when(hit, F.col("_so_far") / F.col("rank")).otherwise(0.0)).alias("_ap"),
+        F.sum(F.when(hit, discount("rank")).otherwise(0.0)).alias("_dcg"),
+    )
+    truth = relevant.groupBy(USER).agg(F.count(F.lit(1)).alias("n_rel"))
+    best = F.least(F.col("n_rel"), F.lit(k))
+    ideal = F.aggregate(F.sequence(F.lit(1), best.cast("int")), F.lit(0.0), lambda acc, i: acc + discount(i))
+    return truth.join(own, USER, "left").select(
+        USER, "n_rel", F.coalesce("hits", F.lit(0)).alias("hits"),
+        F.coalesce(F.col("hits") / F.col("_n"), F.lit(0.0)).alias("precision_at_k"),
+        (F.coalesce("hits", F.lit(0)) / F.col("n_rel")).alias("recall_at_k"),
+        (F.coalesce("_ap", F.lit(0.0)) / best).alias("average_precision"),
+        F.coalesce(F.lit(1.0) / F.col("_first"), F.lit(0.0)).alias("reciprocal_rank"),
+        (F.coalesce("_dcg", F.lit(0.0)) / ideal).alias("ndcg_at_k"),
+    )
+
+
+def mean_ranking(per_user: DataFrame) -> DataFrame:
+    """Per-user metrics averaged over users, one row."""
+    return per_user.agg(
+        F.count(F.lit(1)).alias("users"), F.avg("precision_at_k").alias("mean_precision"),
+        F.avg("recall_at_k").alias("mean_recall"), F.avg("average_precision").alias("map_at_k"),
+        F.avg("reciprocal_rank").alias("mrr_at_k"), F.avg("ndcg_at_k").alias("mean_ndcg"),
+        F.avg((F.col("hits") > 0).cast("double")).alias("hit_rate"),
+    )

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import epoch_to_ts
+from shelfwise.operators.latest import best_row
 from shelfwise.schema import ITEM, RATING, USER
 
 
@@ -29,26 +30,14 @@ def dedupe(
     """One row per ``keys``.
 
     The survivor is deterministic: the row with the largest ``prefer`` value
-    (then the largest remaining columns). Written as an aggregate of
-    ``max(struct(...))`` so copies are collapsed by the partial aggregate on
-    each map task; no window ever holds a whole group of copies. With no
-    non-key column this is ``distinct`` on the keys.
+    (then the largest remaining columns), see
+    :func:`shelfwise.operators.latest.best_row`. With no non-key column this
+    is ``distinct`` on the keys.
     """
-    keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
     if prefer is not None and prefer in rest:
         rest = [prefer] + [c for c in rest if c != prefer]
-    if len(rest) == 1:
-        return df.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(*df.columns)
-    best = F.max(F.struct(*[F.col(c) for c in rest])).alias("_best")
-    return (
-        df.groupBy(*keys)
-        .agg(best)
-        .select(*keys, *[F.col("_best")[c].alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    return best_row(df, keys, rest)
 
 
 def preprocess_interactions(
@@ -56,16 +45,18 @@ def preprocess_interactions(
     keys: Sequence[str] = (USER, ITEM, "timestamp"),
     epoch_col: str | None = "timestamp",
     rating_col: str = RATING,
+    ntz: bool = False,
 ) -> DataFrame:
-    """P2's cleaning step: epoch seconds -> timestamp (B1), drop null ratings
-    (B2), then one row per key (B10).
+    """P2's cleaning step: epoch seconds -> ``timestamp`` (B1; ``ntz`` for the
+    wall-clock type, which cannot carry a watermark), drop null ratings (B2),
+    then one row per key (B10).
 
     The null filter runs *before* the de-duplication: the other order can
     drop a key entirely when the arbitrary survivor is the null-rated copy.
     """
     out = df
     if epoch_col is not None:
-        out = out.withColumn(epoch_col, epoch_to_ts(F.col(epoch_col)))
+        out = out.withColumn(epoch_col, epoch_to_ts(F.col(epoch_col), ntz=ntz))
     out = drop_null(out, rating_col)
     return dedupe(out, keys, prefer=rating_col)
 
@@ -79,3 +70,17 @@ def user_item_matrix(df: DataFrame, user: str = USER, item: str = ITEM,
 def distinct_values(df: DataFrame, column: str = USER) -> DataFrame:
     """Distinct values of one column (e.g. the users of a test set)."""
     return df.select(column).distinct()
+
+
+#: Confidence of one event of each type; other types carry none.
+EVENT_WEIGHTS = {"purchase": 5.0, "click": 2.0, "view": 1.0}
+
+
+def implicit_matrix(events: DataFrame, user: str = USER, item: str = ITEM,
+                    kind: str = "event_type") -> DataFrame:
+    """D1 on implicit feedback: ``(user, item, rating)`` with the summed
+    weights of a pair's events; pairs without weight are left out."""
+    weight = F.lit(0.0)
+    for name, value in EVENT_WEIGHTS.items():
+        weight = F.when(F.col(kind) == name, value).otherwise(weight)
+    return events.groupBy(user, item).agg(F.sum(weight).alias(RATING)).where(F.col(RATING) > 0)

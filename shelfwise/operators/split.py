@@ -13,21 +13,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import split_bucket
+from shelfwise.functions.columns import SPLIT_RANGE, split_hash
 from shelfwise.schema import ITEM, USER
 
 PART = "part"
 
 
-def _thresholds(weights: Sequence[float], buckets: int) -> list[int]:
+def thresholds(weights: Sequence[float]) -> list[int]:
+    """Upper hash bounds of all parts but the last, in 2**-32 steps. A weight
+    too small for a step of its own is an error, not an empty part."""
     total = float(sum(weights))
     if total <= 0 or any(w < 0 for w in weights):
         raise ValueError("weights must be non-negative and not all zero")
-    cuts, acc = [], 0.0
-    for w in weights[:-1]:
+    cuts, acc = [0], 0.0
+    for w in weights:
         acc += w
-        cuts.append(int(round(acc / total * buckets)))
-    return cuts
+        cuts.append(int(round(acc / total * SPLIT_RANGE)))
+    cuts[-1] = SPLIT_RANGE
+    for w, low, high in zip(weights, cuts, cuts[1:]):
+        if w > 0 and high <= low:
+            raise ValueError(f"weight {w} of {total} is below the split's resolution")
+    return cuts[1:-1]
 
 
 def assign_parts(
@@ -35,17 +41,15 @@ def assign_parts(
     weights: Sequence[float] = (0.8, 0.2),
     names: Sequence[str] = ("train", "test"),
     keys: Sequence[str] = (USER, ITEM),
-    buckets: int = 100,
 ) -> DataFrame:
-    """Add a ``part`` column: bucket ``[0, buckets)`` of the key hash, cut at
-    the cumulative weights (80/20 -> buckets 0-79 train, 80-99 test)."""
+    """Add a ``part`` column: the 32-bit key hash cut at the cumulative
+    weights (80/20 -> the lowest 80% of the hash range is train)."""
     if len(weights) != len(names):
         raise ValueError("one name per weight")
-    cuts = _thresholds(weights, buckets)
-    bucket = split_bucket(*keys, buckets=buckets)
+    hashed = split_hash(*keys)
     expr = F.lit(names[-1])
-    for cut, name in reversed(list(zip(cuts, names[:-1]))):
-        expr = F.when(bucket < cut, F.lit(name)).otherwise(expr)
+    for cut, name in reversed(list(zip(thresholds(weights), names[:-1]))):
+        expr = F.when(hashed < F.lit(cut).cast("bigint"), F.lit(name)).otherwise(expr)
     return df.withColumn(PART, expr)
 
 
@@ -54,11 +58,10 @@ def hash_split(
     weights: Sequence[float] = (0.8, 0.2),
     names: Sequence[str] = ("train", "test"),
     keys: Sequence[str] = (USER, ITEM),
-    buckets: int = 100,
 ) -> dict[str, DataFrame]:
     """The parts as separate DataFrames (each a filter over the
     same projection; persist the input if it is expensive to recompute)."""
-    tagged = assign_parts(df, weights, names, keys, buckets)
+    tagged = assign_parts(df, weights, names, keys)
     return {n: tagged.filter(F.col(PART) == n).drop(PART) for n in names}
 
 

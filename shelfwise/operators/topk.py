@@ -75,19 +75,24 @@ def topk_from_ranked_list(
     score: str = SCORE,
     pos: str = "pos",
     block: int = 1024,
+    head: int = 1024,
+    salts: int = 16,
 ) -> DataFrame:
     """Exact per-user top-k from one global ranked list minus per-user
     exclusions (e.g. most popular items a user has not seen).
 
     ``ranked`` holds ``(item, score, pos)`` with ``pos`` dense from 1. A
-    user's answer lies within the first ``k + e_u`` positions, ``e_u`` being
-    the number of the user's excluded items that are in the list, so each user
-    gets exactly that many candidates: work is linear in users x k plus the
-    exclusion rows, never users x catalogue. Candidates are generated by
-    block: a user needing ``B`` positions gets ``ceil(B/block)`` block ids,
-    equi-joined to the list's blocks with ``pos <= B`` evaluated in the join.
-    The anti join is on the ``(user, item)`` pair, so one user with a huge
-    exclusion list is still spread over many tasks.
+    user's answer lies within the first ``need = k + e_u`` positions, ``e_u``
+    being the number of the user's excluded items that are in the list, so
+    each user gets exactly ``need`` candidates, never the catalogue.
+
+    The first ``head`` positions, a constant number of them, travel as one
+    array (scalar subquery) and every user takes a slice of it: no join, so no
+    key that all users share. Only users who need more join the rest of the
+    list, by block and salt (``salts`` copies of the list's tail, users spread
+    over them), with ``pos <= need`` evaluated in the join: at most one block
+    too many per user. The anti join is on the ``(user, item)`` pair, so one
+    user with a huge exclusion list is still spread over many tasks.
     """
     users = users.select(user).distinct()
     if exclusions is not None:
@@ -105,20 +110,29 @@ def topk_from_ranked_list(
             user, F.lit(None).cast("bigint").alias(item), F.lit(None).cast("double").alias(score),
             F.lit(0).alias("rank"),
         )
-    need = need.withColumn(
-        "_blk", F.explode(F.sequence(F.lit(0), ((F.col("_need") - 1) / F.lit(block)).cast("bigint")))
+    listed = ranked.select(item, score, F.col(pos).cast("bigint").alias(pos))
+    first = (
+        listed.filter(F.col(pos) <= head)
+        .agg(F.sort_array(F.collect_list(F.struct(pos, item, score))).alias("_head"))
+        .scalar()
     )
-    listed = ranked.select(item, score, pos).withColumn(
-        "_blk", ((F.col(pos) - 1) / F.lit(block)).cast("bigint")
+    taken = F.slice(first, F.lit(1), F.least(F.col("_need"), F.lit(head)).cast("int"))
+    cand = need.select(user, F.explode(taken).alias("_c")).select(
+        user, F.col(f"_c.{item}").alias(item), F.col(f"_c.{score}").alias(score), F.col(f"_c.{pos}").alias(pos)
     )
-    # Only the first max(need) positions can be used: a scalar subquery
-    # prunes the list inside the same query; AQE then measures the pruned
-    # list and broadcasts it when small, else sort-merge joins with its skew
-    # split on the hot first block.
-    listed = listed.filter(F.col(pos) <= need.agg(F.max("_need")).scalar())
-    cand = need.join(
-        listed, (need["_blk"] == listed["_blk"]) & (listed[pos] <= need["_need"]), "inner"
-    ).select(user, item, score, pos)
+    blk = lambda c: F.floor((c - F.lit(head + 1)) / F.lit(block)).cast("bigint")
+    tail_users = (
+        need.filter(F.col("_need") > head)
+        .withColumn("_salt", F.pmod(F.xxhash64(user), F.lit(salts)).cast("int"))
+        .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("bigint"), blk(F.col("_need")))))
+    )
+    tail = (
+        listed.filter((F.col(pos) > head) & (F.col(pos) <= need.agg(F.max("_need")).scalar()))
+        .withColumn("_blk", blk(F.col(pos)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    more = tail_users.join(tail, ["_blk", "_salt"]).filter(F.col(pos) <= F.col("_need")).select(user, item, score, pos)
+    cand = cand.unionByName(more)
     if excl is not None:
         cand = cand.join(excl, [user, item], "left_anti")
     w = Window.partitionBy(user).orderBy(F.asc(pos))
@@ -129,6 +143,24 @@ def topk_from_ranked_list(
     )
 
 
+def topk_from_factors(user_vector: DataFrame, items: DataFrame, k: int, exclusions: DataFrame | None = None,
+                      item: str = ITEM, vec: str = "features", score: str = SCORE) -> DataFrame:
+    """F1 from a model: top-k for one user, ``(item, score, rank)``.
+
+    ``user_vector`` is a one-row DataFrame with the user's vector; ``items`` is
+    scanned once, every item scored by the dot product, and only the k best
+    (ties by item id) leave each task. ``exclusions`` holds the items left out.
+    """
+    u = user_vector.select(F.col(vec).cast("array<double>")).scalar()
+    both = items.select(item, F.col(vec).cast("array<double>").alias("_i"), u.alias("_u"))
+    scored = both.select(item, F.aggregate(
+        F.zip_with("_i", "_u", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x).alias(score))
+    if exclusions is not None:
+        scored = scored.join(exclusions.select(item).distinct(), item, "left_anti")
+    best = scored.where(F.col(score).isNotNull()).orderBy(F.desc(score), F.asc(item)).limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(score), F.asc(item))))  # k rows
+
+
 def nest_recommendations(recs: DataFrame, user: str = USER, item: str = ITEM,
                          score: str = SCORE, rank: str = "rank") -> DataFrame:
     """Flat top-k rows -> ``(user, recommendations array<struct<item_id, rating>>)``

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.functions.columns import epoch_to_ts
+from shelfwise.functions.columns import epoch_to_ts, instant_to_ntz
 from shelfwise.operators import baselines, ids, metrics, prep, ranking, split, topk
 from shelfwise.plans import fixtures_sql as S
 from shelfwise.schema import ITEM, RATING, SCORE, TS, USER
-from shelfwise.sources import tables
+from shelfwise.plans.pipelines import stored
+from shelfwise.sources import sinks, tables
+from shelfwise.streaming.ingest import run_dir
 from shelfwise.streaming.monitor import tumbling_activity
 from shelfwise.streaming.upsert import upsert
 
@@ -74,24 +76,29 @@ def _load_extensions() -> None:
 # ---------------------------------------------------------------- helpers
 
 
-def parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return split.train_test_split(tables.interactions(spark, sf_dir))
+def parts(spark: SparkSession, sf_dir: str, once: bool = False) -> dict[str, DataFrame]:
+    """Train and test of F1; ``once``: stored first, for queries that use them
+    several times (one pass over the tables, and no cache left behind)."""
+    rows = tables.interactions(spark, sf_dir)
+    return split.train_test_split(stored(rows) if once else rows)
 
 
 def test_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.distinct_values(parts(spark, sf_dir)["test"], USER)
 
 
-def popular_recs(spark: SparkSession, sf_dir: str, k: int = K) -> DataFrame:
+def popular_recs(spark: SparkSession, sf_dir: str, k: int = K,
+                 p: dict[str, DataFrame] | None = None) -> DataFrame:
     """Popularity top-k (fitted on train) for every test user, named as the
     reference names model recommendations."""
-    p = parts(spark, sf_dir)
+    p = p or parts(spark, sf_dir)
     recs = baselines.recommend_popular(prep.distinct_values(p["test"], USER), p["train"], k)
     return recs.select(USER, ITEM, F.col(SCORE).alias("predicted_rating"), "rank")
 
 
-def item_mean_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = parts(spark, sf_dir)
+def item_mean_predictions(spark: SparkSession, sf_dir: str,
+                          p: dict[str, DataFrame] | None = None) -> DataFrame:
+    p = p or parts(spark, sf_dir)
     return baselines.item_mean_predictions(p["test"].select(USER, ITEM, RATING), p["train"])
 
 
@@ -126,7 +133,8 @@ GROUP BY user_id, item_id, "timestamp" """,
 )
 def preprocess_interactions(spark, sf_dir):
     """P2 cleaning (B1 + B2 + B10) on raw rows with copies and null ratings."""
-    return prep.preprocess_interactions(tables.raw_form(tables.dirty(spark, sf_dir)))
+    clean = prep.preprocess_interactions(tables.raw_form(tables.dirty(spark, sf_dir)))
+    return clean.withColumn("timestamp", instant_to_ntz("timestamp"))  # UTC wall clock, as DuckDB has it
 
 
 @register(
@@ -213,23 +221,24 @@ def index_interactions(spark, sf_dir):
 
 @register(
     "restore_ids",
-    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TEST)
-    + """, small_dict AS (
-  SELECT key, CAST(row_number() OVER (ORDER BY key) - 1 AS INTEGER) AS idx
-  FROM (SELECT DISTINCT p_name AS key FROM part WHERE p_size <= 25))
-SELECT t.item_id, coalesce(d.key, CAST(t.item_id AS VARCHAR)) AS item_name
-FROM (SELECT DISTINCT item_id FROM test) t LEFT JOIN small_dict d ON t.item_id = d.idx""",
+    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TEST, _ITEM_DICT_SQL)
+    + """, known AS (
+  SELECT DISTINCT d.idx, d.key FROM test t JOIN item_dict d ON d.key = 'item_' || CAST(t.item_id AS VARCHAR)),
+beyond AS (SELECT idx + CAST((SELECT count(*) FROM item_dict) AS INTEGER) AS idx FROM known WHERE idx % 10 = 0)
+SELECT idx AS item_id, key AS item_name FROM known
+UNION ALL SELECT idx, CAST(idx AS VARCHAR) FROM beyond""",
 )
 def restore_ids(spark, sf_dir):
-    """C4 + H5: index -> name via a dictionary, the index's decimal string
-    when the dictionary lacks it (here the dictionary covers part of the
-    catalogue, so both branches occur)."""
-    names = tables.table(spark, sf_dir, "part").filter(F.col("p_size") <= 25).select(
-        F.col("p_name").alias("key")
-    )
-    dictionary = ids.build_dictionary(names, "key")
-    items = prep.distinct_values(parts(spark, sf_dir)["test"], ITEM)
-    return ids.decode(items, dictionary, ITEM, out="item_name")
+    """C4 + H5: the test items' names through the item dictionary of all parts
+    and back: every index gets its own name again; indexes beyond the
+    dictionary become their decimal string."""
+    dictionary = item_dictionary(spark, sf_dir)
+    names = prep.distinct_values(parts(spark, sf_dir)["test"], ITEM).select(
+        F.concat(F.lit("item_"), F.col(ITEM).cast("string")).alias(ITEM))
+    known = ids.encode(names, dictionary, ITEM)
+    size = dictionary.agg(F.count(F.lit(1)).cast("int")).scalar()
+    beyond = known.where(F.col(ITEM) % 10 == 0).select((F.col(ITEM) + size).alias(ITEM))
+    return ids.decode(known.unionByName(beyond), dictionary, ITEM, out="item_name")
 
 
 # ------------------------------------------------------------------ splits
@@ -255,6 +264,17 @@ def split_three_way(spark, sf_dir):
     )
 
 
+@register(
+    "split_fine_weights",
+    S.with_ctes(S.INTERACTIONS)
+    + f"""SELECT *, CASE WHEN {S.split_hash()} < {S.share(0.997)} THEN 'train' ELSE 'test' END AS part
+FROM interactions""",
+)
+def split_fine_weights(spark, sf_dir):
+    """B11 with a hold-out of 3 in 1000."""
+    return split.assign_parts(tables.interactions(spark, sf_dir), (0.997, 0.003))
+
+
 # ------------------------------------------------------------------- top-k
 
 
@@ -264,9 +284,13 @@ def split_three_way(spark, sf_dir):
     + "SELECT user_id, item_id, predicted_rating, rank FROM recs",
 )
 def recommend_subset(spark, sf_dir):
-    """Recommendations only for the users of the test part (popularity
-    list of the train part)."""
-    return popular_recs(spark, sf_dir)
+    """Recommendations for all users (popularity list of the train part),
+    restricted to the users of the test part."""
+    p = parts(spark, sf_dir)
+    everyone = prep.distinct_values(tables.interactions(spark, sf_dir), USER)
+    recs = baselines.recommend_popular(everyone, p["train"], K)
+    recs = recs.select(USER, ITEM, F.col(SCORE).alias("predicted_rating"), "rank")
+    return topk.restrict_to_users(recs, p["test"])
 
 
 @register(
@@ -337,8 +361,8 @@ SELECT user_id, item_id, score, rank FROM (
 )
 def topk_excluding_seen(spark, sf_dir):
     """B13 + F2: most popular items each test user has not rated in train.
-    Exact, and linear in users x k plus the exclusion rows."""
-    p = parts(spark, sf_dir)
+    Exact; a user gets as many candidates as k plus the items they have seen."""
+    p = parts(spark, sf_dir, once=True)
     ranked = ids.dense_index(
         baselines.item_popularity(p["train"]), [F.desc(SCORE), F.asc(ITEM)], out="pos"
     ).withColumn("pos", F.col("pos") + 1)
@@ -349,15 +373,37 @@ def topk_excluding_seen(spark, sf_dir):
 
 @register(
     "unknown_users",
-    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TRAIN, S.TEST)
-    + """SELECT DISTINCT user_id FROM test t
-WHERE NOT EXISTS (SELECT 1 FROM train r WHERE r.user_id = t.user_id)""",
+    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TRAIN)
+    + """SELECT c_custkey AS user_id FROM customer
+WHERE c_custkey NOT IN (SELECT user_id FROM train WHERE ts >= (SELECT max(ts) FROM train) - INTERVAL 30 DAY)""",
 )
 def unknown_users(spark, sf_dir):
-    """Test users a model fitted on train cannot know (they get no
-    recommendation rows)."""
-    p = parts(spark, sf_dir)
-    return topk.unknown_users(p["test"], p["train"])
+    """Customers that a model of the latest 30 days of train rows cannot
+    know (they get no recommendation rows)."""
+    customers = tables.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias(USER))
+    train = parts(spark, sf_dir)["train"]
+    since = train.agg((F.max(TS) - F.expr("INTERVAL 30 DAYS")).alias("t")).scalar()
+    recent = train.where(F.col(TS) >= since)
+    return topk.unknown_users(customers, recent)
+
+
+@register(
+    "vector_topk_single",
+    f"""SELECT item_id, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, item_id) AS INTEGER) AS rank
+FROM (SELECT i.vec_id AS item_id,
+             list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score
+      FROM embeddings i, (SELECT embedding, label FROM embeddings WHERE vec_id = 0) u
+      WHERE i.label <> u.label ORDER BY score DESC, item_id LIMIT {K})""",
+)
+def vector_topk_single(spark, sf_dir):
+    """F1 + B13 from vectors: one user's top-k over the catalogue, the vectors
+    of its own label excluded."""
+    vec = tables.vectors(spark, sf_dir)
+    user = vec.where("vec_id = 0")
+    items = vec.select(F.col("vec_id").alias(ITEM), F.col("embedding").alias("features"), "label")
+    seen = items.where(F.col("label") == user.select("label").scalar())
+    out = topk.topk_from_factors(user.select(F.col("embedding").alias("features")), items, K, seen)
+    return out.withColumn("rank", F.col("rank").cast("int"))
 
 
 # ------------------------------------------------------ ranks and metrics
@@ -538,9 +584,115 @@ FROM e, h, d, i""",
 def metric_report(spark, sf_dir):
     """The five metrics in one row (popularity recommendations,
     item-mean predictions)."""
-    p = parts(spark, sf_dir)
-    recs = popular_recs(spark, sf_dir).drop("rank")
-    return metrics.metric_report(recs, p["test"], item_mean_predictions(spark, sf_dir), K)
+    p = parts(spark, sf_dir, once=True)
+    recs = popular_recs(spark, sf_dir, p=p).drop("rank")
+    return metrics.metric_report(recs, p["test"], item_mean_predictions(spark, sf_dir, p), K)
+
+
+_PER_USER_SQL = f""", judged AS (
+  SELECT r.user_id, r.item_id, r.rank,
+         EXISTS (SELECT 1 FROM relevant v WHERE v.user_id = r.user_id AND v.item_id = r.item_id) AS hit
+  FROM recs r),
+seen AS (SELECT *, sum(CAST(hit AS INT)) OVER (PARTITION BY user_id ORDER BY rank) AS hits_so_far FROM judged),
+own AS (SELECT user_id, count(*) AS n_recs, sum(CAST(hit AS INT)) AS hits, min(CASE WHEN hit THEN rank END) AS first_hit,
+               sum(CASE WHEN hit THEN hits_so_far / rank ELSE 0 END) AS precisions,
+               sum(CASE WHEN hit THEN 1.0 / log2(rank + 1) ELSE 0 END) AS dcg FROM seen GROUP BY user_id),
+truth AS (SELECT user_id, count(DISTINCT item_id) AS n_rel FROM relevant GROUP BY user_id),
+ideal AS (SELECT user_id, sum(1.0 / log2(i + 1)) AS idcg
+          FROM (SELECT user_id, unnest(range(1, least(n_rel, {K}) + 1)) AS i FROM truth) GROUP BY user_id),
+per_user AS (
+  SELECT truth.user_id, n_rel, coalesce(hits, 0) AS hits,
+         CASE WHEN n_recs > 0 THEN hits / n_recs ELSE 0.0 END AS precision_at_k,
+         coalesce(hits, 0) / n_rel AS recall_at_k,
+         coalesce(precisions, 0) / least(n_rel, {K}) AS average_precision,
+         coalesce(1.0 / first_hit, 0.0) AS reciprocal_rank,
+         coalesce(dcg, 0) / idcg AS ndcg_at_k
+  FROM truth LEFT JOIN own USING (user_id) JOIN ideal USING (user_id))"""
+
+
+@register(
+    "per_user_metrics",
+    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TRAIN, S.TEST, S.TEST_USERS, S.popular(K), S.RECS, S.relevant())
+    + _PER_USER_SQL
+    + """SELECT user_id, CAST(n_rel AS BIGINT) AS n_rel, CAST(hits AS BIGINT) AS hits,
+  round(precision_at_k, 6) AS precision_at_k, round(recall_at_k, 6) AS recall_at_k,
+  round(average_precision, 6) AS average_precision, round(reciprocal_rank, 6) AS reciprocal_rank,
+  round(ndcg_at_k, 6) AS ndcg_at_k FROM per_user""",
+)
+def per_user_metrics(spark, sf_dir):
+    """Ranking metrics of each user with a relevant test item."""
+    p = parts(spark, sf_dir, once=True)
+    return metrics.per_user_ranking(popular_recs(spark, sf_dir, p=p), p["test"], K)
+
+
+@register(
+    "mean_ranking_metrics",
+    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TRAIN, S.TEST, S.TEST_USERS, S.popular(K), S.RECS, S.relevant())
+    + _PER_USER_SQL
+    + """SELECT count(*) AS users, round(avg(precision_at_k), 6) AS mean_precision, round(avg(recall_at_k), 6) AS mean_recall,
+  round(avg(average_precision), 6) AS map_at_k, round(avg(reciprocal_rank), 6) AS mrr_at_k,
+  round(avg(ndcg_at_k), 6) AS mean_ndcg, round(avg(CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END), 6) AS hit_rate
+FROM per_user""",
+)
+def mean_ranking_metrics(spark, sf_dir):
+    """The per-user metrics averaged over users."""
+    p = parts(spark, sf_dir, once=True)
+    return metrics.mean_ranking(metrics.per_user_ranking(popular_recs(spark, sf_dir, p=p), p["test"], K))
+
+
+# ------------------------------------------------------- implicit feedback
+
+
+@register(
+    "implicit_matrix",
+    """SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+       CAST(sum(CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 2 WHEN 'view' THEN 1 ELSE 0 END) AS DOUBLE) AS rating
+FROM events GROUP BY 1, 2
+HAVING sum(CASE event_type WHEN 'purchase' THEN 5 WHEN 'click' THEN 2 WHEN 'view' THEN 1 ELSE 0 END) > 0""",
+)
+def implicit_matrix(spark, sf_dir):
+    """F2 + D1: events as implicit feedback, one weight per (user, item)."""
+    return prep.implicit_matrix(tables.implicit_interactions(spark, sf_dir))
+
+
+# ------------------------------------------------------- sink round trips
+
+
+@register("roundtrip_table", S.with_ctes(S.INTERACTIONS) + "SELECT * FROM interactions")
+def roundtrip_table(spark, sf_dir):
+    """A4 + A5: interactions written partitioned by user bucket, then the table
+    overwritten from its own copy, and read back."""
+    out = run_dir(spark, "table")
+    sinks.write_table(tables.interactions(spark, sf_dir), f"{out}/by_user", bucket_user=USER, buckets=8)
+    sinks.write_parquet(spark.read.parquet(f"{out}/by_user").drop("user_bucket"), f"{out}/plain")
+    return spark.read.parquet(f"{out}/plain")
+
+
+@register(
+    "roundtrip_dictionary",
+    """SELECT key, CAST(row_number() OVER (ORDER BY key) - 1 AS INTEGER) AS idx
+FROM (SELECT DISTINCT 'item_' || CAST(p_partkey AS VARCHAR) AS key FROM part)""",
+)
+def roundtrip_dictionary(spark, sf_dir):
+    """A6 + A3: the item dictionary written as a table and read back."""
+    path = f"{run_dir(spark, 'dictionary')}/items"
+    sinks.write_dictionary(item_dictionary(spark, sf_dir), path)
+    return sinks.read_dictionary(spark, path)
+
+
+@register(
+    "roundtrip_metrics",
+    S.with_ctes(S.INTERACTIONS, S.SPLIT2, S.TRAIN, S.TEST, S.ITEM_MEAN_PRED)
+    + """SELECT round(sqrt(avg((rating - prediction) * (rating - prediction))), 6) AS rmse,
+       round(avg(abs(rating - prediction)), 6) AS mae, '2.0' AS model_version
+FROM pred WHERE prediction IS NOT NULL AND rating IS NOT NULL""",
+)
+def roundtrip_metrics(spark, sf_dir):
+    """A metric row appended with its run time and version, read back."""
+    path = f"{run_dir(spark, 'metrics')}/report"
+    sinks.append_metrics(metrics.rating_errors(item_mean_predictions(spark, sf_dir)).select("rmse", "mae"), path, "2.0")
+    back = spark.read.schema("rmse double, mae double, timestamp string, model_version string").json(path)
+    return back.where(F.col("timestamp").rlike(r"^\d{8}_\d{6}$")).select("rmse", "mae", "model_version")
 
 
 # --------------------------------------------------------------- monitoring

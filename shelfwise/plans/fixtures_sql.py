@@ -36,17 +36,22 @@ RAW_DIRTY = """raw_dirty AS (
   FROM dirty)"""
 
 
-def bucket(cols: str = "user_id, item_id") -> str:
-    return f"CAST(('0x' || substr(md5(concat_ws(',', {cols})), 1, 8))::BIGINT % 100 AS INTEGER)"
+def split_hash(cols: str = "user_id, item_id") -> str:
+    return f"('0x' || substr(md5(concat_ws(',', {cols})), 1, 8))::BIGINT"
+
+
+def share(x: float) -> int:
+    """Hash bound of a cumulative weight."""
+    return round(x * 2**32)
 
 
 SPLIT2 = f"""split2 AS (
-  SELECT *, CASE WHEN {bucket()} < 80 THEN 'train' ELSE 'test' END AS part
+  SELECT *, CASE WHEN {split_hash()} < {share(0.8)} THEN 'train' ELSE 'test' END AS part
   FROM interactions)"""
 
 SPLIT3 = f"""split3 AS (
-  SELECT *, CASE WHEN {bucket()} < 80 THEN 'train'
-                 WHEN {bucket()} < 90 THEN 'val' ELSE 'test' END AS part
+  SELECT *, CASE WHEN {split_hash()} < {share(0.8)} THEN 'train'
+                 WHEN {split_hash()} < {share(0.9)} THEN 'val' ELSE 'test' END AS part
   FROM interactions)"""
 
 TRAIN = "train AS (SELECT user_id, item_id, rating, ts FROM split2 WHERE part = 'train')"

@@ -1,18 +1,21 @@
 """Registered queries over fitted models.
 
-ALS and the perceptron are iterative solvers: their outputs have no SQL
-equivalent, so these queries get a rows-only check, except the catalogue
-scorer over the ``embeddings`` table, whose exact top-k DuckDB reproduces.
+ALS and the perceptron are iterative solvers: their values have no SQL
+equivalent, so the queries that return them get a rows-only check. Beside each
+stands a companion that returns what SQL can know of the same result: which
+ids have factors, which pairs survive the cold start, how many unseen items
+every known user gets and that none of them was seen, that one candidate wins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.operators import als, ids, neural, prep, scoring, split
+from shelfwise.operators import als, ids, neural, prep, scoring, split, topk
+from shelfwise.plans import fixtures_sql as S
 from shelfwise.plans.catalog import K, register
-from shelfwise.plans.pipelines import run_als, run_neural, run_serving
+from shelfwise.plans.pipelines import run_als, run_neural, run_serving, stored
 from shelfwise.schema import ITEM, RATING, USER
 from shelfwise.sources import tables
 
@@ -20,10 +23,10 @@ from shelfwise.sources import tables
 def indexed_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """F1 with ids through the J1 dictionaries (ALS needs the int range),
     split 80/20 by pair hash."""
-    raw = tables.raw_interactions(spark, sf_dir)
+    raw = stored(tables.raw_interactions(spark, sf_dir))  # one pass over the tables
     user_dict = ids.build_dictionary(raw, USER)
     item_dict = ids.build_dictionary(raw, ITEM)
-    indexed = ids.index_interactions(raw, user_dict, item_dict)
+    indexed = stored(ids.index_interactions(raw, user_dict, item_dict))
     return split.train_test_split(indexed)
 
 
@@ -98,32 +101,32 @@ def score_catalogue(spark, sf_dir):
 
 def indexed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 over the dictionary-indexed interactions (the neural path's input)."""
-    raw = tables.raw_interactions(spark, sf_dir)
+    raw = stored(tables.raw_interactions(spark, sf_dir))
     user_dict = ids.build_dictionary(raw, USER)
     item_dict = ids.build_dictionary(raw, ITEM)
     return prep.user_item_matrix(ids.index_interactions(raw, user_dict, item_dict))
 
 
 def _neural(spark, sf_dir, candidates=(neural.MlpParams(),)):
-    matrix = indexed_matrix(spark, sf_dir)
     # rank 32: the reference embeds users and items in 32 dimensions.
-    return matrix, run_neural(matrix, candidates, rank=32)
+    run = run_neural(indexed_matrix(spark, sf_dir), candidates, rank=32)
+    run.close()
+    return run
 
 
 @register("mlp_score")
 def mlp_score(spark, sf_dir):
     """Class-1 probability of every test pair from the perceptron over
     ALS factors (fitted on the train part)."""
-    matrix, run = _neural(spark, sf_dir)
-    test = split.train_val_test_split(matrix)["test"]
-    feats = neural.with_label(neural.pair_features(test, run.user_factors, run.item_factors))
+    run = _neural(spark, sf_dir)
+    feats = neural.with_label(neural.pair_features(run.parts["test"], run.user_factors, run.item_factors))
     return neural.score(run.model, feats).select(USER, ITEM, RATING, "label", "probability", "prediction")
 
 
 @register("mlp_evaluate")
 def mlp_evaluate(spark, sf_dir):
     """Held-out cross-entropy and accuracy of the selected perceptron."""
-    return _neural(spark, sf_dir)[1].test_metrics
+    return _neural(spark, sf_dir).test_metrics
 
 
 @register("select_model")
@@ -133,16 +136,148 @@ def select_model(spark, sf_dir):
         neural.MlpParams(hidden=(64, 32, 16, 8), max_iter=20),
         neural.MlpParams(hidden=(16, 8), max_iter=20),
     )
-    return _neural(spark, sf_dir, candidates)[1].candidates
+    return _neural(spark, sf_dir, candidates).candidates
 
 
 @register("mlp_topk")
 def mlp_topk(spark, sf_dir):
     """Every test user's top-k over the whole catalogue by the
     perceptron, items seen in train excluded; blocked NumPy scoring."""
-    matrix, run = _neural(spark, sf_dir)
-    parts = split.train_val_test_split(matrix)
+    run = _neural(spark, sf_dir)
     return run_serving(
-        parts["test"], run.user_factors, run.item_factors, K,
-        exclusions=parts["train"].select(USER, ITEM), model=run.model,
+        run.parts["test"], run.user_factors, run.item_factors, K,
+        exclusions=run.parts["train"].select(USER, ITEM), model=run.model,
     )
+
+
+# ------------------------------------------ companions that SQL can check
+
+_KEYS = """idx_interactions AS (
+  SELECT u.idx AS user_id, i.idx AS item_id, r.rating
+  FROM raw r
+  JOIN (SELECT key, row_number() OVER (ORDER BY key) - 1 AS idx FROM (SELECT DISTINCT user_id AS key FROM raw)) u
+    ON r.user_id = u.key
+  JOIN (SELECT key, row_number() OVER (ORDER BY key) - 1 AS idx FROM (SELECT DISTINCT item_id AS key FROM raw)) i
+    ON r.item_id = i.key)"""
+_IDX2 = f"""idx_train AS (SELECT * FROM idx_interactions WHERE {S.split_hash()} < {S.share(0.8)}),
+idx_test AS (SELECT * FROM idx_interactions WHERE {S.split_hash()} >= {S.share(0.8)})"""
+_IDX3 = f"""idx_matrix AS (SELECT user_id, item_id, avg(CAST(rating AS DOUBLE)) AS rating FROM idx_interactions GROUP BY 1, 2),
+idx_train AS (SELECT * FROM idx_matrix WHERE {S.split_hash()} < {S.share(0.8)}),
+idx_test AS (SELECT * FROM idx_matrix WHERE {S.split_hash()} >= {S.share(0.9)})"""
+_COUNTS = f"""SELECT CAST(user_id AS BIGINT) AS user_id, CAST(least({K}, n_items - n_seen) AS BIGINT) AS n_recs,
+       CAST(0 AS BIGINT) AS n_seen
+FROM (SELECT user_id, count(DISTINCT item_id) AS n_seen FROM idx_train GROUP BY user_id)
+     JOIN (SELECT DISTINCT user_id FROM idx_test) USING (user_id),
+     (SELECT count(DISTINCT item_id) AS n_items FROM idx_train)
+WHERE n_items > n_seen"""
+
+
+def _serving_counts(recs: DataFrame, train: DataFrame) -> DataFrame:
+    """Per user: recommendations, and how many of them are in train."""
+    pairs = recs.select(F.col(USER).cast("bigint").alias(USER), F.col(ITEM).cast("bigint").alias(ITEM))
+    seen = train.select(F.col(USER).cast("bigint").alias(USER), F.col(ITEM).cast("bigint").alias(ITEM)).distinct()
+    joined = pairs.join(seen.withColumn("_seen", F.lit(1)), [USER, ITEM], "left")
+    return joined.groupBy(USER).agg(F.count(F.lit(1)).alias("n_recs"), F.count("_seen").alias("n_seen"))
+
+
+@register(
+    "als_factor_ids",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
+    + """SELECT 'user' AS side, CAST(user_id AS BIGINT) AS id, 10 AS width FROM (SELECT DISTINCT user_id FROM idx_train)
+UNION ALL SELECT 'item', CAST(item_id AS BIGINT), 10 FROM (SELECT DISTINCT item_id FROM idx_train)""",
+)
+def als_factor_ids(spark, sf_dir):
+    """Every user and item of train has a vector of the rank's width."""
+    found = als_factors(spark, sf_dir)
+    return found.select("side", F.col("id").cast("bigint").alias("id"), F.size("features").alias("width"))
+
+
+@register(
+    "als_prediction_pairs",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
+    + """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id, count(*) AS n
+FROM idx_test WHERE user_id IN (SELECT user_id FROM idx_train) AND item_id IN (SELECT item_id FROM idx_train)
+GROUP BY 1, 2""",
+)
+def als_prediction_pairs(spark, sf_dir):
+    """The test pairs that get a prediction (user and item known)."""
+    known = als_predictions(spark, sf_dir).where(F.col("prediction").isNotNull())
+    return known.groupBy(F.col(USER).cast("bigint").alias(USER), F.col(ITEM).cast("bigint").alias(ITEM)).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@register("als_topk_unseen_counts", S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2) + _COUNTS)
+def als_topk_unseen_counts(spark, sf_dir):
+    """C5 + B13: each known test user gets min(k, unseen items), none of them seen."""
+    model, parts = fitted(spark, sf_dir)
+    uf, itf = als.factors(model)
+    recs = run_serving(parts["test"], uf, itf, K, exclusions=parts["train"].select(USER, ITEM))
+    return _serving_counts(recs, parts["train"])
+
+
+@register(
+    "als_topk_single_user",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
+    + f""", busiest AS (SELECT user_id FROM idx_train GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1)
+SELECT least({K}, (SELECT count(DISTINCT item_id) FROM idx_train)
+             - (SELECT count(DISTINCT item_id) FROM idx_train WHERE user_id = (SELECT user_id FROM busiest))) AS n_recs,
+       CAST(0 AS BIGINT) AS n_seen, true AS descending""",
+)
+def als_topk_single_user(spark, sf_dir):
+    """F1 from a model: the busiest user's top-k, its train items excluded;
+    how many there are, how many of them were seen, and whether in order."""
+    model, parts = fitted(spark, sf_dir)
+    uf, itf = als.factors(model)
+    train = parts["train"]
+    busiest = train.groupBy(USER).count().orderBy(F.desc("count"), F.asc(USER)).limit(1).select(USER)
+    seen = train.join(busiest, USER, "left_semi").select(ITEM)
+    recs = topk.topk_from_factors(uf.join(busiest, USER, "left_semi"), itf, K, seen)
+    after = F.lead("score").over(Window.orderBy("rank"))  # k rows
+    marked = recs.withColumn("_ok", F.coalesce(after <= F.col("score"), F.lit(True))).join(
+        seen.distinct().withColumn("_seen", F.lit(1)), ITEM, "left")
+    return marked.agg(F.count(F.lit(1)).alias("n_recs"), F.count("_seen").alias("n_seen"),
+                      F.every("_ok").alias("descending"))
+
+
+@register("mlp_topk_counts", S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX3) + _COUNTS)
+def mlp_topk_counts(spark, sf_dir):
+    """J5 + B13: each known test user gets min(k, unseen items), none of them seen."""
+    run = _neural(spark, sf_dir, (neural.MlpParams(hidden=(8,), max_iter=5),))
+    train = run.parts["train"].select(USER, ITEM)
+    recs = run_serving(run.parts["test"], run.user_factors, run.item_factors, K, exclusions=train, model=run.model)
+    return _serving_counts(recs, train)
+
+
+@register(
+    "mlp_score_pairs",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX3)
+    + """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id,
+       CASE WHEN rating >= 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS label, true AS in_range
+FROM idx_test WHERE user_id IN (SELECT user_id FROM idx_train) AND item_id IN (SELECT item_id FROM idx_train)""",
+)
+def mlp_score_pairs(spark, sf_dir):
+    """The test pairs that are scored, their labels, probabilities in (0, 1)."""
+    run = _neural(spark, sf_dir, (neural.MlpParams(hidden=(8,), max_iter=5),))
+    feats = neural.with_label(neural.pair_features(run.parts["test"], run.user_factors, run.item_factors))
+    return neural.score(run.model, feats).select(
+        F.col(USER).cast("bigint").alias(USER), F.col(ITEM).cast("bigint").alias(ITEM), "label",
+        F.col("probability").between(0.0, 1.0).alias("in_range"))
+
+
+@register("select_model_winner", "SELECT CAST(2 AS BIGINT) AS candidates, CAST(1 AS BIGINT) AS winners, true AS lowest")
+def select_model_winner(spark, sf_dir):
+    """Of two candidates exactly one wins, the one of least validation loss."""
+    candidates = (neural.MlpParams(hidden=(8,), max_iter=5), neural.MlpParams(hidden=(4,), max_iter=2))
+    table = _neural(spark, sf_dir, candidates).candidates
+    return table.agg(
+        F.count(F.lit(1)).alias("candidates"), F.count_if("best").alias("winners"),
+        (F.min("bce") == F.min(F.when(F.col("best"), F.col("bce")))).alias("lowest"))
+
+
+@register("als_implicit")
+def als_implicit(spark, sf_dir):
+    """F2 + J2/J3: ALS on implicit feedback; confidence of every seen pair."""
+    weights = stored(prep.implicit_matrix(tables.implicit_interactions(spark, sf_dir))).select(
+        F.col(USER).cast("int").alias(USER), F.col(ITEM).cast("int").alias(ITEM), RATING)
+    model = als.fit(weights, als.AlsParams(implicit_prefs=True, alpha=10.0))
+    return als.predict(model, weights)

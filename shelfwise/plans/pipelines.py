@@ -2,13 +2,15 @@
 
 Inputs are DataFrames in the reference's raw shape (string ids, epoch
 seconds); outputs are DataFrames, and writers are only called when a path is
-given. Frames used by several actions are persisted (recomputable from
-lineage if an executor is lost) and released at the end.
+given. Frames used by several actions are checkpointed to the shared folder
+(a lost executor costs nothing, and Spark deletes the files once nothing
+refers to them) or persisted by the run object, whose ``close()`` releases
+them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.recommendation import ALSModel
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from shelfwise.operators import als, ids, metrics, neural, prep, scoring, split
 from shelfwise.schema import ITEM, USER
+from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources import sinks
 
 
@@ -28,6 +31,17 @@ class AlsRun:
     item_dictionary: DataFrame
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def one_row(df: DataFrame) -> DataFrame:
+    """A one-row result by value, free of the frames it came from."""
+    return df.sparkSession.createDataFrame([df.first()], df.schema)
+
+
 def run_als(raw: DataFrame, k: int = 10, params: als.AlsParams = als.AlsParams(),
             out_dir: str | None = None, mean_per_pair: bool = False,
             user_dictionary: DataFrame | None = None,
@@ -43,21 +57,21 @@ def run_als(raw: DataFrame, k: int = 10, params: als.AlsParams = als.AlsParams()
     more). ALS keeps each user's ratings in one block, so a user holding a
     large share of all rows makes one slow task; ``mean_per_pair=True``
     first collapses the training rows to one mean rating per pair (D1), which
-    bounds every user by the catalogue size at the price of that weighting.
+    bounds every user by the catalogue size, and every item by the number of
+    users, at the price of that weighting.
     """
+    raw = stored(raw)
     user_dict = user_dictionary if user_dictionary is not None else ids.build_dictionary(raw, USER)
     item_dict = item_dictionary if item_dictionary is not None else ids.build_dictionary(raw, ITEM)
-    indexed = ids.index_interactions(raw, user_dict, item_dict).persist()
+    indexed = stored(ids.index_interactions(raw, user_dict, item_dict))
     parts = split.train_test_split(indexed)
     train, test = parts["train"], parts["test"]
     if mean_per_pair:
         train = prep.user_item_matrix(train)
     model = als.fit(train, params)
-    recs_idx = als.recommend_for_users(model, test, k).persist()
+    recs_idx = stored(als.recommend_for_users(model, test, k))
     predictions = als.predict(model, test)
-    report = metrics.metric_report(recs_idx, test, predictions, k).persist()
-    report.count()
-    indexed.unpersist()
+    report = one_row(metrics.metric_report(recs_idx, test, predictions, k))
     recs = ids.decode(ids.decode(recs_idx, user_dict, USER), item_dict, ITEM)
     if out_dir is not None:
         sinks.write_parquet(recs, f"{out_dir}/recommendations")
@@ -71,9 +85,9 @@ def run_als(raw: DataFrame, k: int = 10, params: als.AlsParams = als.AlsParams()
 def run_preprocess(raw: DataFrame, out_dir: str | None = None, fmt: str = "parquet",
                    buckets: int = 64) -> tuple[DataFrame, DataFrame]:
     """Clean (B1, B2, B10) -> write by user bucket -> user-item matrix
-    (D1) -> write. The cleaned rows are persisted so the second write does not
-    recompute the scan and the de-duplication."""
-    clean = prep.preprocess_interactions(raw).persist()
+    (D1) -> write. The cleaned rows are stored once, so the second write does
+    not recompute the scan and the de-duplication."""
+    clean = stored(prep.preprocess_interactions(raw))
     matrix = prep.user_item_matrix(clean)
     if out_dir is not None:
         sinks.write_table(clean, f"{out_dir}/interactions", fmt, bucket_user=USER, buckets=buckets)
@@ -89,6 +103,13 @@ class NeuralRun:
     user_factors: DataFrame
     item_factors: DataFrame
     model_path: str | None
+    parts: dict[str, DataFrame]
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def close(self) -> None:
+        """Release the cached factors; results computed later read the model again."""
+        for df in self.cached:
+            df.unpersist()
 
 
 def run_neural(matrix: DataFrame, candidates=(neural.MlpParams(),), rank: int = 32,
@@ -96,7 +117,7 @@ def run_neural(matrix: DataFrame, candidates=(neural.MlpParams(),), rank: int =
     """User-item matrix (int ids) -> 80/10/10 split -> ALS factors on
     train -> features -> MLP candidates selected on val (J6) -> test
     evaluation (J7) -> saved winner (A10)."""
-    parts = split.train_val_test_split(matrix)
+    parts = split.train_val_test_split(stored(matrix))
     model_als = als.fit(parts["train"], als.AlsParams(rank=rank))
     uf, itf = als.factors(model_als)
     uf, itf = uf.persist(), itf.persist()
@@ -105,12 +126,14 @@ def run_neural(matrix: DataFrame, candidates=(neural.MlpParams(),), rank: int =
         for name, df in parts.items()
     }
     best, table = neural.select_model(feats["train"], feats["val"], rank, list(candidates))
-    test_metrics = neural.evaluate(best, feats["test"])
+    test_metrics = one_row(neural.evaluate(best, feats["test"]))
+    for df in feats.values():
+        df.unpersist()
     path = None
     if model_dir is not None:
         path = sinks.save_model(best, f"{model_dir}/mlp", latest_path=f"{model_dir}/latest")
         model_als.write().overwrite().save(f"{model_dir}/als_factors")
-    return NeuralRun(best, table, test_metrics, uf, itf, path)
+    return NeuralRun(best, table, test_metrics, uf, itf, path, parts, [uf, itf])
 
 
 def run_serving(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int = 10,

@@ -14,23 +14,42 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import epoch_to_ts, instant_to_ntz, ntz_to_instant
+from shelfwise.functions.columns import epoch_to_ts, instant_to_ntz, ntz_to_instant, ts_to_epoch
 from shelfwise.operators import als
 from shelfwise.plans.catalog import K, register
 from shelfwise.plans import fixtures_sql as S
-from shelfwise.plans.model_queries import indexed_parts
+from shelfwise.plans.model_queries import _COUNTS, _IDX2, _KEYS, _serving_counts, indexed_parts
+from shelfwise.plans.pipelines import stored
 from shelfwise.schema import ITEM, RAW_INTERACTIONS, USER
 from shelfwise.sources import tables
 from shelfwise.streaming import ingest
 
 
-def _landed(spark: SparkSession, df: DataFrame, name: str, files: int = 8) -> tuple[str, str]:
-    """Write ``df`` as a landing folder of ``files`` parquet files; returns
-    (landing path, run folder)."""
+SLICES = 4
+
+
+def _landed(spark: SparkSession, df: DataFrame, name: str, by, late: DataFrame | None = None,
+            slices: int = SLICES) -> tuple[str, str, int]:
+    """Write ``df`` to a landing folder in ``slices`` steps of ascending ``by``
+    (a number), the ``late`` rows with the last; returns (landing path, run
+    folder, files per step). Each step is a job of its own, so file times
+    ascend; a step has as many files as there are shuffle partitions."""
     run = ingest.run_dir(spark, name)
     landing = os.path.join(run, "landing")
-    df.repartition(files).write.parquet(landing)
-    return landing, run
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stored(df.withColumn("_by", by))
+    cuts = rows.approxQuantile("_by", [i / slices for i in range(1, slices)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        keep = F.lit(True)
+        if low is not None:
+            keep &= F.col("_by") > low
+        if high is not None:
+            keep &= F.col("_by") <= high
+        part = rows.where(keep).drop("_by")
+        if high is None and late is not None:
+            part = part.unionByName(late)
+        part.repartition(files).write.mode("append").parquet(landing)
+    return landing, run, files
 
 
 @register(
@@ -40,11 +59,16 @@ def _landed(spark: SparkSession, df: DataFrame, name: str, files: int = 8) -> tu
 WHERE rating IS NOT NULL GROUP BY user_id, item_id, "timestamp" """,
 )
 def stream_dedupe(spark, sf_dir):
-    """K1 + K2: raw interactions with copies and null ratings arrive as
-    files; one row per key survives (highest rating), copies combined
-    map-side, late rows dropped by the watermark."""
-    landing, run = _landed(spark, tables.raw_form(tables.dirty(spark, sf_dir)), "dedupe")
-    stream = ingest.with_event_time(ingest.interaction_stream(spark, landing, RAW_INTERACTIONS))
+    """K1 + K2: raw interactions with copies and null ratings arrive as files
+    over several batches; one row per key survives (highest rating), copies
+    combined map-side. The last batch brings rows of the first days with a
+    rating that would win: the watermark drops them."""
+    raw = tables.raw_form(tables.dirty(spark, sf_dir))
+    early = raw.where(F.col("timestamp") <= raw.agg(F.min("timestamp") + 30 * 86400).scalar())
+    late = early.withColumn("rating", F.lit(99).cast("bigint"))
+    landing, run, files = _landed(spark, raw, "dedupe", F.col("timestamp"), late)
+    stream = ingest.with_event_time(ingest.interaction_stream(
+        spark, landing, RAW_INTERACTIONS, max_files_per_trigger=files))
     deduped = ingest.dedupe_stream_combined(stream, [USER, ITEM, "timestamp"], delay="1 hour")
     out = os.path.join(run, "out")
     q = ingest.write_stream_batches(deduped, out, os.path.join(run, "checkpoint"))
@@ -61,10 +85,14 @@ def stream_dedupe(spark, sf_dir):
 FROM interactions GROUP BY 1""",
 )
 def stream_activity(spark, sf_dir):
-    """K5 streaming: one-day tumbling windows with a watermark, update
-    mode, final value per window."""
-    landing, run = _landed(spark, tables.raw_interactions(spark, sf_dir), "activity")
-    stream = ingest.with_event_time(ingest.interaction_stream(spark, landing, RAW_INTERACTIONS))
+    """K5 streaming: one-day tumbling windows with a watermark, update mode,
+    final value per window; rows of the first month that come again in the
+    last batch are too late to count."""
+    raw = tables.raw_interactions(spark, sf_dir)
+    late = raw.where(F.col("timestamp") <= raw.agg(F.min("timestamp") + 30 * 86400).scalar())
+    landing, run, files = _landed(spark, raw, "activity", F.col("timestamp"), late)
+    stream = ingest.with_event_time(ingest.interaction_stream(
+        spark, landing, RAW_INTERACTIONS, max_files_per_trigger=files))
     agg = ingest.activity_stream(stream, "1 day", delay="1 day").drop("users")
     out = os.path.join(run, "out")
     q = ingest.write_stream_batches(agg, out, os.path.join(run, "checkpoint"))
@@ -79,24 +107,34 @@ def stream_activity(spark, sf_dir):
     )
 
 
-@register("stream_topk_refresh")
-def stream_topk_refresh(spark, sf_dir):
-    """K3: test interactions stream in; each micro-batch refreshes the exact
-    top-k (train items excluded) of the users it touched."""
+def _refreshed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(recommendations, train) of the refresh stream."""
     parts = indexed_parts(spark, sf_dir)
     model = als.fit(parts["train"])
     uf, itf = als.factors(model)
-    uf, itf = uf.persist(), itf.persist()
-    landing, run = _landed(spark, parts["test"], "refresh", files=4)
+    landing, run, files = _landed(spark, parts["test"], "refresh", F.col("timestamp"))
     stream = spark.readStream.schema(spark.read.parquet(landing).schema).option(
-        "maxFilesPerTrigger", 2
+        "maxFilesPerTrigger", files
     ).parquet(landing)
     out = os.path.join(run, "recs")
     q = ingest.refresh_topk(
         stream, uf, itf, K, parts["train"].select(USER, ITEM), out, os.path.join(run, "checkpoint")
     )
     q.awaitTermination()
-    return ingest.latest_recommendations(spark, out)
+    return ingest.latest_recommendations(spark, out), parts["train"]
+
+
+@register("stream_topk_refresh")
+def stream_topk_refresh(spark, sf_dir):
+    """K3: test interactions stream in; each micro-batch refreshes the exact
+    top-k (train items excluded) of the users it touched."""
+    return _refreshed(spark, sf_dir)[0]
+
+
+@register("stream_topk_refresh_counts", S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2) + _COUNTS)
+def stream_topk_refresh_counts(spark, sf_dir):
+    """K3: each known test user ends with min(k, unseen items), none of them seen."""
+    return _serving_counts(*_refreshed(spark, sf_dir))
 
 
 @register(
@@ -110,9 +148,9 @@ def stream_event_activity(spark, sf_dir):
     and mean value per event type, watermarked, update mode."""
     from shelfwise.streaming.monitor import event_activity
 
-    landing, run = _landed(spark, tables.table(spark, sf_dir, "events"), "events", files=4)
-    schema = spark.read.parquet(landing).schema
-    stream = spark.readStream.schema(schema).parquet(landing).withColumn(
+    events = tables.table(spark, sf_dir, "events")
+    landing, run, files = _landed(spark, events, "events", ts_to_epoch("ts"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(landing).withColumn(
         "event_time", ntz_to_instant(F.col("ts"))
     )
     agg = event_activity(stream.withWatermark("event_time", "1 hour"), "1 hour", ts="event_time")

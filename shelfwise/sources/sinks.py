@@ -97,7 +97,7 @@ def save_model(model, path: str, latest_path: str | None = None) -> str:
     (a one-row pointer table), which the serving step reads."""
     model.write().overwrite().save(path)
     if latest_path is not None:
-        spark = SparkSession.getActiveSession()
+        spark = SparkSession.builder.getOrCreate()
         spark.range(1).select(
             F.lit(path).alias("path"), F.current_timestamp().alias("saved_at")
         ).write.mode("overwrite").json(latest_path)

@@ -121,10 +121,13 @@ def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 plus exact copies, copies with a null rating and rows whose
     item is unknown (-1); for the cleaning, lookup and null rules."""
-    base = interactions(spark, sf_dir)
-    copies = base.filter(F.col(ITEM) % 7 == 0)
-    null_rated = base.filter(F.col(ITEM) % 11 == 0).withColumn(
-        RATING, F.lit(None).cast("int")
+    one = lambda item, rating: F.struct(item.alias(ITEM), rating.alias(RATING))
+    item, rating, none = F.col(ITEM), F.col(RATING), F.lit(None).cast("int")
+    made = F.array(  # one pass: each row and the rows made from it
+        one(item, rating),
+        F.when(item % 7 == 0, one(item, rating)),
+        F.when(item % 11 == 0, one(item, none)),
+        F.when(item % 13 == 0, one(F.lit(-1).cast("bigint"), rating)),
     )
-    unknown = base.filter(F.col(ITEM) % 13 == 0).withColumn(ITEM, F.lit(-1).cast("bigint"))
-    return base.unionByName(copies).unionByName(null_rated).unionByName(unknown)
+    rows = interactions(spark, sf_dir).select(USER, TS, F.explode(made).alias("_r")).where("_r is not null")
+    return rows.select(USER, F.col("_r")[ITEM].alias(ITEM), F.col("_r")[RATING].alias(RATING), TS)

@@ -23,8 +23,11 @@ from shelfwise.functions.columns import epoch_to_ts
 from shelfwise.operators import scoring
 from shelfwise.schema import USER
 from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.sources.sinks import user_bucket, write_table
 from shelfwise.streaming.monitor import tumbling_activity
 
+EXCLUSION_BUCKETS = 64
+
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared checkpoint dir."""
@@ -83,19 +86,6 @@ def activity_stream(stream: DataFrame, width: str = "1 day", event_time: str = "
     return tumbling_activity(stream.withWatermark(event_time, delay), width, ts=event_time)
 
 
-def write_stream_parquet(stream: DataFrame, path: str, checkpoint: str,
-                         available_now: bool = True, mode: str = "append") -> StreamingQuery:
-    """File sink (exactly-once through the sink's metadata log)."""
-    writer = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode(mode)
-    )
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
-
-
 def write_stream_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "update",
                          available_now: bool = True) -> StreamingQuery:
     """``foreachBatch`` sink for update-mode aggregates: each micro-batch is
@@ -115,8 +105,16 @@ def latest_per_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataF
     ``batch_id`` (an aggregate of ``max(struct(batch_id, ...))``)."""
     df = spark.read.parquet(path)
     rest = [c for c in df.columns if c not in keys and c != "batch_id"]
-    best = F.max(F.struct(F.col("batch_id"), *[F.col(c) for c in rest])).alias("_b")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_b")[c].alias(c) for c in rest])
+    # a batch writes a key once, so each column's value at the highest batch
+    # is that of the same row; fixed-width buffers make this a hash aggregate
+    return df.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], into: str) -> DataFrame:
+    """Write the final values so far as batch -1 of a fresh sink ``into``, so
+    that readers of a long-lived stream don't read every batch again."""
+    latest_per_key(spark, path, keys).write.mode("overwrite").parquet(os.path.join(into, "batch_id=-1"))
+    return spark.read.parquet(into)
 
 
 def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int,
@@ -125,12 +123,23 @@ def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataF
     """K3: for the users seen in each micro-batch, recompute their exact
     top-k from the model's factors (minus their exclusions) and write them
     as that batch's slice of the recommendation table. Readers take each
-    user's rows of the latest batch (:func:`latest_recommendations`)."""
+    user's rows of the latest batch (:func:`latest_recommendations`).
+
+    Exclusions are reduced to distinct pairs once and stored by user bucket
+    (A5), so that a batch reads its users' buckets and not the whole history."""
+    store = os.path.join(path + "-exclusions")
+    spark = user_factors.sparkSession
+    if exclusions is not None:
+        write_table(exclusions.distinct(), store, bucket_user=USER, buckets=EXCLUSION_BUCKETS)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         users = batch.select(USER).distinct()
         wanted = user_factors.join(users, USER, "left_semi")
-        recs = scoring.topk_vectors(wanted, item_factors, k, exclusions=exclusions)
+        own = None
+        if exclusions is not None:
+            hit = users.select(user_bucket(USER, EXCLUSION_BUCKETS).alias("b")).distinct().collect()  # few buckets
+            own = spark.read.parquet(store).where(F.col("user_bucket").isin([r["b"] for r in hit])).drop("user_bucket")
+        recs = scoring.topk_vectors(wanted, item_factors, k, exclusions=own)
         recs.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

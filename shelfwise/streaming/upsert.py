@@ -2,10 +2,9 @@
 
 The reference's table writer promises "create or update" but overwrites.
 Here an upsert is a new snapshot (written with ``sources.sinks.write_table``):
-``base UNION ALL changes``, one row per key,
-the row with the greatest ``order`` columns winning. The survivor is picked
-by an aggregate of ``max(struct(order..., rest...))``, so a key with
-millions of versions is combined map-side rather than windowed in one task.
+``base UNION ALL changes``, one row per key, the row with the greatest
+``order`` columns winning; a key with millions of versions is combined
+map-side (see :mod:`shelfwise.operators.latest`).
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from shelfwise.operators.latest import best_row
 
 
 def upsert(
@@ -22,14 +22,5 @@ def upsert(
     keys: Sequence[str],
     order: Sequence[str],
 ) -> DataFrame:
-    keys, order = list(keys), list(order)
-    cols = base.columns
-    rest = [c for c in cols if c not in keys and c not in order]
-    both = base.unionByName(changes.select(*cols))
-    best = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_best")
-    return (
-        both.groupBy(*keys)
-        .agg(best)
-        .select(*keys, *[F.col("_best")[c].alias(c) for c in order + rest])
-        .select(*cols)
-    )
+    rest = [c for c in base.columns if c not in keys and c not in order]
+    return best_row(base.unionByName(changes.select(*base.columns)), keys, [*order, *rest])

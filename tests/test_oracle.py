@@ -8,7 +8,6 @@ from shelfwise.plans.catalog import oracle_sql, queries
 from shelfwise.plans.oracle import compare, duckdb_views
 
 ORACLE = oracle_sql()
-SLOW_WITHOUT_ORACLE = {"mlp_score", "mlp_evaluate", "select_model", "mlp_topk"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +22,7 @@ def test_matches_duckdb(spark, con, name):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(set(queries()) - set(ORACLE) - SLOW_WITHOUT_ORACLE)
+    "name", sorted(set(queries()) - set(ORACLE))
 )
 def test_model_queries_produce_rows(spark, name):
     assert queries()[name](spark, SF_SMALL).count() > 0

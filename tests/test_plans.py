@@ -25,12 +25,24 @@ def test_topk_per_user_limits_map_side(spark):
     assert re.search(r"WindowGroupLimit.*Partial", p, re.S)
 
 
-def test_dedupe_combines_before_the_shuffle(spark):
+@pytest.mark.parametrize("keys", [["user_id", "item_id", "ts"], ["user_id", "item_id"]])
+def test_dedupe_combines_before_the_shuffle(spark, keys):
     df = tables.interactions(spark, SF_SMALL)
-    p = plan(prep.dedupe(df, ["user_id", "item_id", "ts"]))
-    # partial aggregate (map side) under the exchange, final above it
-    assert re.search(r"Aggregate\(keys=.*functions=\[partial_max", p)
-    assert "Exchange hashpartitioning" in p
+    p = plan(prep.dedupe(df, keys))
+    # partial hash aggregate (map side) under the exchange, final above it
+    assert re.search(r"HashAggregate\(keys=.*functions=\[partial_max", p)
+    assert "Exchange hashpartitioning" in p and "SortAggregate" not in p
+
+
+@pytest.mark.parametrize("name", ["dedupe_interactions", "preprocess_interactions", "upsert_latest"])
+def test_choosing_a_row_does_not_sort(spark, name):
+    assert "SortAggregate" not in plan(queries()[name](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", ["als_recommendations", "als_topk_unseen", "mlp_topk", "topk_excluding_seen"])
+def test_no_product_join_in_serving(spark, name):
+    p = plan(queries()[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in p and "NestedLoop" not in p
 
 
 def test_interaction_scan_reads_only_needed_columns(spark):

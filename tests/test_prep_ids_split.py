@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -104,3 +106,51 @@ def test_split_parts_are_disjoint_cover_and_stable(spark):
 def test_random_split_is_offered(spark):
     parts = split.random_split(spark.range(100), (0.5, 0.5), seed=1)
     assert sum(p.count() for p in parts) == 100
+
+
+def test_split_of_small_weights_is_not_empty(spark):
+    inter = tables.interactions(spark, SF_SMALL)
+    parts = split.hash_split(inter, (0.997, 0.003))
+    n = parts["test"].count()
+    assert 0 < n < 60 and n + parts["train"].count() == inter.count()
+
+
+def test_split_refuses_weights_below_its_resolution():
+    assert split.thresholds((0.5, 0.5, 0.0)) == [1 << 31, 1 << 32]
+    with pytest.raises(ValueError):
+        split.thresholds((1.0, 1e-12))
+
+
+def test_best_row_equals_a_sorted_choice(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import Window
+    from shelfwise.operators.latest import best_row
+
+    rng = random.Random(3)
+    day = lambda: rng.choice([None, dt.date(1969, 12, 31), dt.date(2024, 2, 29)])
+    rows = [(rng.randint(0, 3), rng.choice([None, -(2**31), -1, 0, 2**31 - 1]), day(),
+             rng.choice([None, True, False])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, a int, d date, f boolean")
+    for order in (["a", "d", "f"], ["f", "d", "a"]):
+        w = Window.partitionBy("k").orderBy(*[F.desc_nulls_last(c) for c in order])
+        want = df.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+        assert sorted(map(str, best_row(df, ["k"], order).collect())) == sorted(map(str, want.collect()))
+    instants = spark.sql("""SELECT k, timestamp_micros(t) AS t, timestamp_ntz '1969-07-20 20:17:40.123456' AS n
+        FROM VALUES (1, -5L), (1, 7L), (2, NULL) AS v(k, t)""")
+    got = {r.k: (r.t, r.n) for r in best_row(instants, ["k"], ["t", "n"]).collect()}
+    assert got[1][0].microsecond == 7 and got[2][0] is None and got[1][1] == dt.datetime(1969, 7, 20, 20, 17, 40, 123456)
+
+
+def test_best_row_with_text_falls_back_to_a_struct(spark):
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 1)], "k int, s string, n int")
+    assert [tuple(r) for r in prep.dedupe(df, ["k"], prefer="n").collect()] == [(1, "a", 2)]
+
+
+def test_dense_index_keeps_the_callers_cache(spark):
+    df = spark.range(50).select((F.col("id") * 7 % 50).alias("x")).persist()
+    df.count()
+    assert ids.dense_index(df, ["x"]).where("x <> idx").count() == 0
+    assert df.storageLevel.useMemory
+    df.unpersist()

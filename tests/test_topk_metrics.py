@@ -198,3 +198,20 @@ def test_metric_report_matches_row_level_semantics_under_skew(spark):
     assert got.recall_at_k == pytest.approx(hits / len(rel))
     assert got.ndcg_at_k == pytest.approx(dcg / idcg)
     assert got.rmse == pytest.approx(0.5) and got.mae == pytest.approx(0.5)
+
+
+@pytest.mark.parametrize("head,block", [(1, 1), (3, 2), (8, 4), (1024, 1024)])
+def test_ranked_list_topk_in_head_and_tail(spark, head, block):
+    """Users whose exclusions push them beyond the head find the rest."""
+    ranked = spark.range(1, 41).select((100 - F.col("id")).alias("item_id"), (1.0 / F.col("id")).alias("score"),
+                                       F.col("id").alias("pos"))
+    seen = [(u, 100 - p) for u in range(1, 8) for p in range(1, 41) if p % 7 < u]
+    excl = spark.createDataFrame(seen, "user_id long, item_id long")
+    users = spark.range(0, 8).select(F.col("id").alias("user_id"))
+    out = topk.topk_from_ranked_list(users, ranked, excl, 5, head=head, block=block, salts=3)
+    got = sorted((r.user_id, r["rank"], r.item_id) for r in out.collect())
+    want = []
+    for u in range(8):
+        free = [100 - p for p in range(1, 41) if (u, 100 - p) not in set(seen)][:5]
+        want += [(u, n + 1, i) for n, i in enumerate(free)]
+    assert got == want
