@@ -84,14 +84,18 @@ def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
 
 
 class BoundedCache(dict):
-    """A dict that starts over once it holds ``CACHE_ENTRIES`` entries."""
+    """A dict that starts over once it holds ``entries`` entries."""
+
+    entries = CACHE_ENTRIES
 
     def trim(self) -> None:
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > self.entries:
             self.clear()
 
 
 class _WordHashes(BoundedCache):
+    entries = 200_000  # the frequent words; a hash costs little
+
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
