@@ -13,6 +13,11 @@ Within a bucket a center is compared with every member of another component
 components; then the center leaves the bucket, and the rest go on with new
 centers until each bucket holds one component. So every pair in a bucket is
 either compared or already connected, and groups of copies end after one star.
+
+Most other pairs of a bucket share a passage and little else. A sketch of four
+bits from each of 128 bins travels with the members, and pairs whose sketches
+agree less than any pair at the threshold would, by six standard deviations,
+are not compared on full sets; sets under 64 shingles are always compared.
 """
 
 from __future__ import annotations
@@ -42,6 +47,10 @@ SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 80, 8
 BINS = BANDS * ROWS
+SKETCH_BINS = 128
+#: (least set size, independent bins that so many elements give at least).
+SKETCH_SAMPLES = ((256, 96), (64, 41))
+SKETCH_DEVIATIONS = 6
 #: Centers per bucket in the second round (the first has one); twice as many in
 #: each round after it, so that the number of rounds is logarithmic.
 CENTERS = 8
@@ -79,8 +88,9 @@ def _borrow_order() -> np.ndarray:
     return np.stack([rng.permutation(BINS) for _ in range(BINS)])
 
 
-def band_keys(owner: np.ndarray, value: np.ndarray, n_texts: int) -> np.ndarray:
-    """(texts x bands) bucket keys of sorted sets; rows of empty sets are void."""
+def band_keys(owner: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(texts x bands) bucket keys and (texts x 8) sketches of sorted sets; rows
+    of empty sets are void."""
     bins = ((value >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
     first = run_starts(owner * BINS + bins)  # sorted values: the first of a bin is its minimum
     signature = np.zeros((n_texts, BINS), np.uint64)
@@ -100,7 +110,9 @@ def band_keys(owner: np.ndarray, value: np.ndarray, n_texts: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         for r in range(ROWS):
             acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + signature[:, r::ROWS])
-    return acc
+    bits = (mix(signature[:, ::BINS // SKETCH_BINS]) & np.uint64(15)).astype(np.uint8)
+    sketch = np.ascontiguousarray(bits[:, 0::2] | bits[:, 1::2] << 4).view(np.uint64)
+    return acc, sketch
 
 
 def _signatures_of(k: int):
@@ -111,12 +123,13 @@ def _signatures_of(k: int):
             edges = np.concatenate([[0], np.cumsum(sizes)])
             sig = [xxhash.xxh3_128_digest(value[a:b].tobytes()) if b > a else None
                    for a, b in zip(edges[:-1], edges[1:])]
-            keys = band_keys(owner, value, part.num_rows).view(np.int64)
-            offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * BANDS)
+            lists = []
+            for table in band_keys(owner, value, part.num_rows):
+                offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * table.shape[1])
+                lists.append(pa.ListArray.from_arrays(offsets, pa.array(table.view(np.int64).reshape(-1))))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sizes.astype(np.int64)), pa.array(sig, pa.binary()),
-                 pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1)))],
-                ["id", "n_shingles", "node", "bands"])
+                [part.column("id"), pa.array(sizes.astype(np.int64)), pa.array(sig, pa.binary()), *lists],
+                ["id", "n_shingles", "node", "bands", "sketch"])
     return emit
 
 
@@ -190,14 +203,33 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+_SKETCH = [f"s{i}" for i in range(SKETCH_BINS // 16)]
+
+
+def _may_reach(percent: int, na: Column, nb: Column) -> Column:
+    """Whether the sketches (s0.. and b_s0..) allow the similarity."""
+    apart = F.lit(0)
+    for c in _SKETCH:
+        x = F.col(c).bitwiseXOR(F.col(f"b_{c}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))  # the lowest bit of each four tells whether they differ
+        apart += F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    agree = percent / 100 + (1 - percent / 100) / 16
+    out = F.lit(True)
+    for least, samples in reversed(SKETCH_SAMPLES):
+        bound = agree - SKETCH_DEVIATIONS * (agree * (1 - agree) / samples) ** 0.5
+        out = F.when(F.least(na, nb) >= least, apart <= (1 - bound) * SKETCH_BINS).otherwise(out)
+    return out
+
+
 def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of all nodes with a link. ``buckets``: (key, node, n)."""
+    """(node, component) of all nodes with a link. ``buckets``: (key, node, n, sketch)."""
     spark = buckets.sparkSession
     comps = spark.createDataFrame([], "node binary, component binary")
     round_ = 0
     while True:
         labelled = buckets.join(comps, "node", "left").select(
-            "key", "node", "n", F.coalesce("component", "node").alias("c"))
+            "key", "node", "n", *_SKETCH, F.coalesce("component", "node").alias("c"))
         dealt = labelled.repartition("key")
         wide = dealt.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
         still = staged(dealt.join(wide, "key"), "buckets")
@@ -209,8 +241,9 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         centers = still.groupBy("key", part.alias("part")).agg(F.min("node").alias("node")).drop("part")
         chosen = staged(still.join(centers, ["key", "node"]), "centers")
         pairs = (still.join(chosen.select("key", F.col("node").alias("b"), F.col("n").alias("nb"),
-                                          F.col("c").alias("cb")), "key")
-                 .where((F.col("c") != F.col("cb")) & _fits(F.col("n"), F.col("nb"), percent))
+                                          F.col("c").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in _SKETCH]), "key")
+                 .where((F.col("c") != F.col("cb")) & _fits(F.col("n"), F.col("nb"), percent)
+                        & _may_reach(percent, F.col("n"), F.col("nb")))
                  .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
         links = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -228,7 +261,7 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             comps = staged(
                 old.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
                 .select("node", F.coalesce("to", "component").alias("component")), "components")
-        buckets = staged(still.join(centers, ["key", "node"], "left_anti").select("key", "node", "n"), "buckets")
+        buckets = staged(still.join(centers, ["key", "node"], "left_anti").select("key", "node", "n", *_SKETCH), "buckets")
         round_ += 1
 
 
@@ -247,14 +280,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
     signed = staged(slim.mapInArrow(
-        _signatures_of(shingle), f"id {kind}, n_shingles long, node binary, bands array<long>"), "signatures")
+        _signatures_of(shingle), f"id {kind}, n_shingles long, node binary, bands array<long>, sketch array<long>"),
+        "signatures")
     usable = signed.where("id is not null and node is not null")
-    nodes = staged(usable.groupBy("node").agg(F.min(F.struct("id", "n_shingles", "bands")).alias("first"))
+    nodes = staged(usable.groupBy("node").agg(F.min(F.struct("id", "n_shingles", "bands", "sketch")).alias("first"))
                    .select("node", "first.*"), "nodes")
-    keys = nodes.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n")).repartition("key")
-    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    buckets = staged(keys.join(shared, "key"), "buckets")
-    wanted = nodes.join(buckets.select("node").distinct(), "node").select("node", "id")
+    keys = nodes.select(F.explode("bands").alias("key"), "node").repartition("key")
+    shared = keys.groupBy("key").agg(F.count("node").alias("m")).where("m > 1").select("key")
+    members = staged(keys.join(shared, "key"), "members")
+    known = nodes.select("node", F.col("n_shingles").alias("n"), *[F.get("sketch", F.lit(i)).alias(c) for i, c in enumerate(_SKETCH)])
+    buckets = members.join(known, "node")
+    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "id")
     sets = staged(
         slim.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
         .mapInArrow(_sets_of(shingle), "node binary, shingles binary")

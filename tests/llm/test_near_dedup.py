@@ -82,7 +82,7 @@ def test_bands_agree_as_the_sets_do(sizes):
         big = np.sort(rng.integers(0, 2**64, sizes[1], dtype=np.uint64))
         small = np.sort(rng.permutation(big)[:sizes[0]])
         owner = np.repeat([0, 1], [len(big), len(small)])
-        keys = nd.band_keys(owner, np.concatenate([big, small]), 2)
+        keys, _ = nd.band_keys(owner, np.concatenate([big, small]), 2)
         agree.append((keys[0] == keys[1]).mean())
     similarity = sizes[0] / sizes[1]
     assert np.mean(agree) == pytest.approx(similarity ** nd.ROWS, abs=0.1)
@@ -94,3 +94,21 @@ def test_components_of_paths_stars_and_pairs(spark):
     out = nd.components(spark.createDataFrame(edges, "a long, b long"))
     want = {i: 0 for e in edges[:-1] for i in e} | {200: 200, 300: 200}
     assert {r.node: r.component for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("size", [64, 100, 255, 256, 1000, 5000])
+def test_sketches_never_rule_out_a_link(size):
+    rng = np.random.default_rng(size)
+    agree = []
+    for _ in range(300):
+        both = np.sort(rng.integers(0, 2**64, size * 9 // 10 + 1, dtype=np.uint64))
+        own = [rng.integers(0, 2**64, max(1, len(both) // 8), dtype=np.uint64) for _ in range(2)]
+        sets = [np.sort(np.concatenate([both, x])) for x in own]
+        _, sketch = nd.band_keys(np.repeat([0, 1], [len(s) for s in sets]), np.concatenate(sets), 2)
+        a, b = sketch.view(np.uint8)
+        agree.append((((a ^ b) & 15 == 0).sum() + ((a ^ b) >> 4 == 0).sum()) / nd.SKETCH_BINS)
+    samples = next(n for least, n in nd.SKETCH_SAMPLES if size >= least)
+    expected = 0.8 + 0.2 / 16
+    deviation = (expected * (1 - expected) / samples) ** 0.5
+    assert np.mean(agree) > expected - 0.02 and np.std(agree) < 1.15 * deviation
+    assert min(agree) > expected - nd.SKETCH_DEVIATIONS * deviation
