@@ -41,9 +41,10 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _repeated(lines: DataFrame) -> DataFrame:
-    dealt = lines.repartition("line")
-    often = dealt.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line")
-    return dealt.join(often, "line")
+    """Counts are summed before the shuffle, and the join is Spark's to deal, so
+    that it can split a line that many documents share."""
+    often = lines.groupBy("line").agg(F.count("*").alias("n")).where("n > 1").select("line")
+    return lines.join(often, "line")
 
 
 def _named(lines: DataFrame, levels: int) -> DataFrame:
