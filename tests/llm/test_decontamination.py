@@ -28,6 +28,9 @@ def brute(rows, items):
             if not q:
                 continue
             a, best = shingles(q), (0.0, 0)
+            k = min(dc.SHINGLE, len(q))
+            if not any(tuple(w[s:s + k]) in a for s in range(len(w) - k + 1)):
+                continue  # no shingle in common: similarity 0 everywhere
             for s in range(len(w) - len(q) + 1):
                 b = shingles(w[s:s + len(q)])
                 value = sum((a & b).values()) / sum((a | b).values())
