@@ -4,8 +4,10 @@ import random
 
 import pytest
 
+from conftest import SF_SMALL
 from helpers import LONG, ODD, frame, sentences, words_of
 from shelfwise.llm import substring_dedup as sd
+from shelfwise.llm.common import read_table
 
 
 def brute(rows, window=sd.WINDOW):
@@ -67,11 +69,12 @@ def test_automaton_matches_brute_force():
 
 def test_texts_and_anchors_move_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    text = " ".join(f"w{i}" for i in range(30))
-    df = sd.remove_repeats(frame(spark, [(1, text), (2, "x " + text), (3, "y " + text)]))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        df = sd.remove_repeats(read_table(spark, SF_SMALL, "documents"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert final.count("ReusedExchange") == 2
