@@ -6,6 +6,12 @@ content word has one. A document's fingerprint is its sorted set of 32-bit
 hashes of signatures. Likeness is the Jaccard resemblance of two sets. The
 quotient of the two set lengths bounds it from above, which partitions sets by
 length and prunes comparisons.
+
+Fixed words alone leave texts without them (tables, code, other languages) with
+next to no signature. With ``cover`` all common words are anchors, a run of more
+than ``CHAIN`` of them (or one that ends the text) is content, a content word
+whose hash says so starts a chain, and so does one that ``CHAIN`` words without a
+start precede. Then every content word lies in a signature.
 """
 
 from __future__ import annotations
@@ -30,21 +36,41 @@ COMMON = ("of and to in for with on as by at from it or be not "
           "de des du et en que qui pour dans au "
           "del y se por con para su lo").split()
 _MARK = "\u0001"
+#: With ``cover``, one content word in so many starts a chain by its hash.
+ONE_IN = 4
 
 
 def _any(words: list[str]) -> str:
     return "(?<![^ ])(?:" + "|".join(words) + ") "
 
 
-def signatures(text: Column, chain: int = CHAIN) -> Column:
-    """Sorted distinct hashes (int) of a text's spot signatures; null for null."""
+def _covered(plain: Column, chain: int) -> Column:
+    """Content words with marks at most ``chain`` words apart."""
+    common = "(?:" + "|".join(ANCHORS + COMMON) + ") "
+    spots = F.concat(F.lit(_MARK), F.regexp_replace(
+        F.concat(F.trim(plain), F.lit(" ")), f"(?<![^ ])(?:{common}){{1,{chain}}}(?!{common}|$)", _MARK))
+    chosen = lambda w: (w != "") & ~w.startswith(_MARK) & (F.pmod(F.hash(w), F.lit(ONE_IN)) == 0)
+    words = F.transform(F.split(spots, " "), lambda w: F.when(chosen(w), F.concat(F.lit(_MARK), w)).otherwise(w))
+    free = f"[^ {_MARK}]"
+    return F.regexp_replace(F.array_join(words, " "), f"(?<!{free})((?:{free}++ ){{{chain}}})(?={free})", f"$1{_MARK}")
+
+
+def chains(text: Column, chain: int = CHAIN, cover: bool = False) -> Column:
+    """A text's spot signatures in order, as words; null for null."""
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")
-    content = F.regexp_replace(F.concat(F.ltrim(plain), F.lit(" ")), _any(COMMON), "")
-    spots = F.concat(F.lit(_MARK), F.regexp_replace(content, _any(ANCHORS), _MARK))
+    if cover:
+        spots = _covered(plain, chain)
+    else:
+        content = F.regexp_replace(F.concat(F.ltrim(plain), F.lit(" ")), _any(COMMON), "")
+        spots = F.concat(F.lit(_MARK), F.regexp_replace(content, _any(ANCHORS), _MARK))
     word = f"{_MARK}*[^ {_MARK}]+"  # with the marks of its own anchors
-    chains = F.regexp_extract_all(spots, F.lit(f"{_MARK}(?=({word}(?: {word}){{0,{chain - 1}}}))"), F.lit(1))
-    hashes = F.transform(chains, lambda c: F.hash(F.translate(c, _MARK, "")))
-    return F.array_sort(F.array_distinct(hashes))
+    found = F.regexp_extract_all(spots, F.lit(f"{_MARK}(?=({word}(?: {word}){{0,{chain - 1}}}))"), F.lit(1))
+    return F.transform(found, lambda c: F.translate(c, _MARK, ""))
+
+
+def signatures(text: Column, chain: int = CHAIN, cover: bool = False) -> Column:
+    """Sorted distinct hashes (int) of a text's spot signatures; null for null."""
+    return F.array_sort(F.array_distinct(F.transform(chains(text, chain, cover), lambda c: F.hash(c))))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -121,7 +147,7 @@ def _neighbours(keys: DataFrame) -> DataFrame:
             .select("k1", "k2", "n_chars", F.coalesce("inside", "beyond").alias("next")))
 
 
-def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cover: bool = False) -> DataFrame:
     """(id, next_id, text, edited, hashes, next_hashes): each text, the text whose last
     third is replaced by the beginning of the next document's, and signatures."""
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -135,15 +161,15 @@ def with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one_each = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.first("id").alias("next_id"))
     given = one_each.join(asked, ["k1", "k2"]).select(
         F.col("for1").alias("k1"), F.col("for2").alias("k2"), "next_id",
-        F.substring("text", F.lit(1), F.col("ask")).alias("begin"), signatures(F.col("text")).alias("next_hashes"))
+        F.substring("text", F.lit(1), F.col("ask")).alias("begin"), signatures(F.col("text"), cover=cover).alias("next_hashes"))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     return (texts.join(given, ["k1", "k2"])
             .select("id", "next_id", "text", F.concat(F.substring("text", F.lit(1), n - cut), F.col("begin")).alias("edited"),
-                    signatures(F.col("text")).alias("hashes"), "next_hashes"))
+                    signatures(F.col("text"), cover=cover).alias("hashes"), "next_hashes"))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cover: bool = False) -> DataFrame:
     """(doc_id, next_id, n_chars, edited_text, fingerprint, edited_fingerprint,
     n_signatures, near_edited, near_next), one row per input row.
 
@@ -151,9 +177,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     digits, has an empty set, and two empty sets are alike (1). Null ids come
     last, ties of ids by a hash of id and text; rows equal in both are one
     document and get the same result each. A lone document is its own next one.
-    Other columns are ignored; an empty table gives no rows.
+    Other columns are ignored; an empty table gives no rows. With ``cover`` every
+    content word lies in a signature (see the top); without, anchors are the
+    fixed words only.
     """
-    with_both = with_edited(docs, id_col, text_col).withColumn("edited_hashes", signatures(F.col("edited")))
+    with_both = with_edited(docs, id_col, text_col, cover).withColumn(
+        "edited_hashes", signatures(F.col("edited"), cover=cover))
     return with_both.select(
         F.col("id").alias(id_col), "next_id", F.length("text").cast("long").alias("n_chars"),
         F.col("edited").alias("edited_text"),

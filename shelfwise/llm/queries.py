@@ -56,7 +56,7 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
+    found = fingerprints.fingerprints(read_table(spark, sf_dir, "documents"), cover=True)
     return found.withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
 
 

@@ -1,6 +1,7 @@
 """Operator 6 against a direct version, and its similarity join against all pairs."""
 
 import math
+import random
 import re
 
 import pytest
@@ -86,3 +87,30 @@ def test_native_and_text_moves_once(spark):
     df = fp.fingerprints(frame(spark, [(1, "a b c"), (2, "d e f")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+
+
+#: Texts with few or none of the fixed words.
+BARE = [
+    " ".join(str(i * 7919 % 10007) for i in range(90)),
+    " ".join(f"слово{i}" for i in range(90)),
+    "; ".join(f"int x{i} = f{i}(y{i})" for i in range(40)),
+    " ".join([f"w{i}" for i in range(60)] + ["same"] * 60),
+    " ".join(random.Random(3).choices(fp.COMMON, k=150)),
+]
+
+
+def test_cover_leaves_no_content_word_without_a_signature(spark):
+    df = spark.createDataFrame([(t,) for t in [*BARE, "", "the", "_", "Cat is", *sentences(11, 60)]], "text string")
+    for r in df.select("text", fp.chains(F.col("text"), cover=True).alias("c")).collect():
+        words = [w for w in re.split(r"[\W_]+", r.text.lower()) if w]
+        content = [w for w in words if w not in fp.ANCHORS + fp.COMMON]
+        assert set(content) <= {w for c in r.c for w in c.split(" ")} and bool(r.c) == bool(words)
+        assert len(r.c) >= len(content) / fp.CHAIN and all(len(c.split(" ")) <= fp.CHAIN for c in r.c)
+
+
+def test_cover_tells_edited_texts_without_fixed_words_apart(spark):
+    rows = list(enumerate(BARE))
+    got = fp.fingerprints(frame(spark, rows), cover=True).collect()
+    assert all(0.25 <= r.near_edited < 1 and r.near_next < 0.5 for r in got), [(r.near_edited, r.near_next) for r in got]
+    shifted = [(1, BARE[0]), (2, "7 8 " + BARE[0])]  # chains fall into step again
+    assert all(r.near_next > 0.8 for r in fp.fingerprints(frame(spark, shifted), cover=True).collect())
