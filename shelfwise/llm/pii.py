@@ -124,18 +124,50 @@ def _iban(cipher: Feistel, m: re.Match) -> str | None:
     return "".join(c if c == " " else next(new) for c in text)
 
 
+#: Country codes of one and two digits; all others have three.
+_SHORT_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+                         "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def _phone(cipher: Feistel, m: re.Match) -> str | None:
-    """North American numbers; area and exchange begin with 2 to 9."""
+    """North American numbers (area and exchange begin with 2 to 9), and numbers
+    with + and another country code, which stays."""
+    if m["abroad"]:
+        return _phone_abroad(cipher, m)
     digits = re.sub(r"\D", "", m["number"])
     if len(digits) != 10:
         return None
     ok = lambda s: s[0] in "23456789" and s[3] in "23456789"
     same = ok(digits)  # numbers outside the plan are permuted among themselves
+    if not same and m["number"][3] == " " and m.start("number") == m.start():
+        return None  # three numbers in a row
     new = cipher.permute(int(digits), 10 ** 10, b"phone", lambda v: ok(str(v).zfill(10)) == same)
     at = m.start("number") - m.start()
     return m[0][:at] + _refill(m["number"], str(new).zfill(10)) + m[0][at + len(m["number"]):]
 
 
+def _phone_abroad(cipher: Feistel, m: re.Match) -> str | None:
+    """Eight to fifteen digits in all (E.164); a trunk zero in brackets stays."""
+    text = m[0]
+    plain = re.sub(r"\(0\)", lambda z: "(o)", text)
+    digits = re.sub(r"\D", "", plain)
+    code = next((digits[:n] for n in (1, 2) if digits[:n] in _SHORT_CODES), digits[:3])
+    own = digits[len(code):]
+    if not 8 <= len(digits) <= 15 or code[0] == "0" or re.fullmatch(r"\+\d+\.\d+", text):  # a number with a sign
+        return None
+    if code == "1":
+        ok = lambda s: s[0] in "23456789" and s[3] in "23456789"
+        if len(own) != 10:
+            return None
+        same = ok(own)
+        new = cipher.permute(int(own), 10 ** 10, b"phone", lambda v: ok(str(v).zfill(10)) == same)
+    else:
+        zero = own[0] == "0"
+        new = cipher.permute(int(own), 10 ** len(own), b"phone+" + code.encode(),
+                             lambda v: (str(v).zfill(len(own))[0] == "0") == zero)
+    return _refill(plain, code + str(new).zfill(len(own))).replace("(o)", "(0)")
+
+
 def _ssn(cipher: Feistel, m: re.Match) -> str | None:
     ok = lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"
     digits = m[0].replace("-", "")
@@ -154,9 +186,14 @@ def _ip(cipher: Feistel, m: re.Match) -> str | None:
 
 
 def _date(cipher: Feistel, m: re.Match) -> str | None:
-    """Years 1900 to 2099. A date has the same pseudonym in either format."""
+    """Years 1900 to 2099, as year-month-day, day/month/year or, where that is no
+    date, month/day/year. A date has the same pseudonym in any format; days above
+    12 are permuted among themselves, so that it is read in the same order."""
     year = m["y1"] or m["y2"]
     month, day = (m["m1"], m["d1"]) if m["y1"] else (m["m2"], m["d2"])
+    swapped = not m["y1"] and int(month) > 12
+    if swapped:
+        month, day = day, month
     try:
         date = dt.date(int(year), int(month), int(day))
     except ValueError:
@@ -164,9 +201,12 @@ def _date(cipher: Feistel, m: re.Match) -> str | None:
     if not _FIRST_DAY <= date <= _LAST_DAY:
         return None
     n = (_LAST_DAY - _FIRST_DAY).days + 1
-    new = _FIRST_DAY + dt.timedelta(cipher.permute((date - _FIRST_DAY).days, n, b"date"))
-    parts = (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")
-    return _refill(m[0], "".join(parts if m["y1"] else parts[::-1]))
+    late = date.day > 12
+    new = _FIRST_DAY + dt.timedelta(cipher.permute(
+        (date - _FIRST_DAY).days, n, b"date", lambda v: ((_FIRST_DAY + dt.timedelta(v)).day > 12) == late))
+    year, month, day = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
+    parts = (year, month, day) if m["y1"] else (month, day, year) if swapped else (day, month, year)
+    return _refill(m[0], "".join(parts))
 
 
 def _email(cipher: Feistel, m: re.Match) -> str:
@@ -177,7 +217,7 @@ def _secret(cipher: Feistel, m: re.Match) -> str:
     group = next(g for g in ("aws", "quoted", "plain") if m[g])
     value = m[group]
     kept = value[:4] if group == "aws" else ""
-    alphabets = ("0123456789abcdef",) if re.fullmatch(r"[0-9a-f]+", value) else _ALPHABETS
+    alphabets = next(((a,) for a in ("0123456789abcdef", "0123456789ABCDEF") if set(value) <= set(a)), _ALPHABETS)
     at = m.start(group) - m.start()
     return m[0][:at] + kept + _by_character(cipher, b"secret", value[len(kept):], alphabets) + m[0][at + len(value):]
 
@@ -185,10 +225,11 @@ def _secret(cipher: Feistel, m: re.Match) -> str:
 _FORMATS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
     "email": (r"(?<![\w.+-])(?P<local>[A-Za-z0-9][A-Za-z0-9._%+-]*)@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})", _email),
     "secret": (r"(?<!\w)(?P<aws>(?:AKIA|ASIA)[A-Z0-9]{16})(?!\w)"
-               r"|(?<!\w)(?:token|password|passwd|secret|api_?key)\s*[=:]\s*(?:\"(?P<quoted>[^\s\"]{6,})\"|(?P<plain>[^\s\"]{6,}))",
+               r"|(?<!\w)(?i:token|password|passwd|secret|api_?key)\s*[=:]\s*(?:\"(?P<quoted>[^\s\"]{6,})\"|(?P<plain>[^\s\"]{6,}))",
                _secret),
     "iban": (r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", _iban),
-    "phone": (r"(?<![\w+])(?:\+?1[ .-]?)?(?P<number>\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])", _phone),
+    "phone": (r"(?<![\w+])(?:(?:\+?1[ .-]?)?(?P<number>\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})"
+              r"|(?P<abroad>\+\d(?:[ .-]?(?:\(\d{1,4}\)|\d)){7,15})(?!\.\d))(?![\w-])", _phone),
     "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     "date": (r"(?<![\w./-])(?:(?P<y1>\d{4})([-/.])(?P<m1>\d\d)\2(?P<d1>\d\d)"
              r"|(?P<d2>\d\d)([-/.])(?P<m2>\d\d)\6(?P<y2>\d{4}))(?![\w/-]|\.\d)", _date),
@@ -197,7 +238,7 @@ _FORMATS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
 }
 _PATTERNS = {kind: (re.compile(pattern, re.ASCII), write) for kind, (pattern, write) in _FORMATS.items()}
 #: Every format holds a digit, an @ or one of the words that announce a secret.
-_MAYBE = re.compile(rb"[0-9@]|(?:token|password|passwd|secret|api_?key)\s*[=:]")
+_MAYBE = re.compile(rb"[0-9@]|(?i:token|password|passwd|secret|api_?key)\s*[=:]")
 
 
 def pseudonymise(text: str, cipher: Feistel) -> tuple[str, dict[str, int]]:
@@ -236,7 +277,9 @@ def pseudonyms(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: st
     Validated card numbers, IBANs, telephone and social security numbers, IPv4
     addresses and dates, the local parts of e-mail addresses, and secrets are
     replaced by keyed pseudonyms of the same format. What looks like one but
-    fails its check stays. Null texts stay null, empty ones empty; null ids and
+    fails its check stays. Telephone numbers are found in the North American
+    formats and, with + and a country code, in any grouping; local formats of
+    other countries are not. A date that can be read as day/month/year is. Null texts stay null, empty ones empty; null ids and
     repeated rows are kept, and equal rows get equal results. Other columns are
     ignored; an empty table gives no rows. A text is handled whole.
     """

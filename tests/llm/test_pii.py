@@ -74,3 +74,37 @@ def test_documents(spark):
     assert (by[20].n_replaced, by[20].n_phone, by[22].n_date) == (1, 1, 1)
     assert by[3].text is None and by[4].text == "" and by[10].text == LONG[1]
     assert pii.pseudonyms(frame(spark, []), KEY).count() == 0
+
+
+@pytest.mark.parametrize("before", ["TOKEN = ", "Password: ", "API_KEY=", "ApiKey = ", "Secret:"])
+def test_words_that_announce_a_secret_in_any_case(spark, before):
+    value = "QJXKWVZPLMRT"  # no digit: the prefilter has to know the word
+    out, found = run(f'{before}"{value}"')
+    assert found == {"secret": 1} and value not in out and re.fullmatch(r'"[A-Z]{12}"', out[len(before):])
+    got = pii.pseudonyms(frame(spark, [(1, before + value)]), KEY).first()
+    assert got.n_secret == 1 and value not in got.text
+    assert re.fullmatch(r"[0-9A-F]{12}", run(f"{before}9233A8ECAB01")[0][len(before):])
+
+
+def test_telephone_numbers_with_spaces_and_other_country_codes():
+    same = {re.sub(r"\D", "", run(t)[0])[-10:] for t in (
+        "+1 212 555 0199", "212 555 0199", "1 212 555 0199", "212-555-0199", "+12125550199")}
+    assert len(same) == 1 and "2125550199" not in same
+    shapes = {"+44 20 7946 0958": r"\+44 \d\d \d{4} \d{4}", "+44 (0)20 7946 0958": r"\+44 \(0\)\d\d \d{4} \d{4}",
+              "+4930901820": r"\+49\d{8}", "+33 1 42 68 53 00": r"\+33 \d( \d\d){4}", "+353 1 234 5678": r"\+353 \d \d{3} \d{4}"}
+    for number, shape in shapes.items():
+        out, found = run(f"call {number}, now.")
+        assert found == {"phone": 1} and re.fullmatch(rf"call {shape}, now\.", out) and number not in out, out
+        assert run(out)[1] == {"phone": 1}
+    assert run("+44 (0)20 7946 0958")[0].replace("(0)", "") == run("+44 20 7946 0958")[0]
+    for text in ("100 200 3000", "+49.12345678", "+1 234", "+999", "x = 5 + 4930901820123456"):
+        assert run(text) == (text, {})
+
+
+def test_dates_with_the_month_first():
+    out, found = run("12/25/1999")
+    month, day, year = out.split("/")
+    assert found == {"date": 1} and out != "12/25/1999" and 1 <= int(month) <= 12 < int(day)
+    assert run("25/12/1999")[0] == f"{day}/{month}/{year}" and run("1999-12-25")[0] == f"{year}-{month}-{day}"
+    assert run("13/25/1999") == ("13/25/1999", {}) and run("02/30/1999") == ("02/30/1999", {})
+    assert len({run(f"{d:02d}/{m:02d}/2001")[0] for d in range(1, 29) for m in range(1, 29) if min(d, m) <= 12}) == 28 * 28 - 16 * 16
