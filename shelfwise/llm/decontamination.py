@@ -8,6 +8,9 @@ multiplicity). Windows are found by 64-bit SimHash: fingerprints within
 of each block's neighbourhood return all of them; candidates are verified on
 the shingles themselves. Windows in which shingles of the benchmark carry too
 little weight to reach the similarity are not fingerprinted.
+
+A text shorter than an item is one window, verified where its shingles in the
+item weigh enough to reach the similarity.
 """
 
 from __future__ import annotations
@@ -85,6 +88,27 @@ class _Items:
         blocks = self.prints.view(np.uint8).reshape(-1, BLOCKS)
         # tables[b][value]: items whose block b is within the block radius of value
         self.tables = [near[:, blocks[:, b]] for b in range(BLOCKS)]
+        # the distinct shingles, and for each the items that have it with their weight in them
+        grams = np.concatenate([g for g, _ in self.shingles])
+        weights = np.concatenate([w for _, w in self.shingles])
+        item = np.repeat(np.arange(len(self.shingles)), self.size)
+        self.weight = np.bincount(item, weights=weights, minlength=len(self.shingles))
+        order = np.lexsort((item, grams))
+        grams, item, weights = grams[order], item[order], weights[order]
+        first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]) | (item[1:] != item[:-1])]))
+        self.owner, self.part = item[first], np.add.reduceat(weights, first)
+        self.keys, edges = np.unique(grams[first], return_index=True)
+        self.edges = np.append(edges, len(first))
+
+    def sharing(self, grams: np.ndarray, similarity: float) -> np.ndarray:
+        """Items of whose weight the share that a similar window needs lies in ``grams``."""
+        own = np.unique(grams)
+        at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+        at = at[self.keys[at] == own]
+        n = self.edges[at + 1] - self.edges[at]
+        rows = np.repeat(self.edges[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        shared = np.bincount(self.owner[rows], weights=self.part[rows], minlength=len(self.weight))
+        return np.flatnonzero((shared >= similarity * self.weight - 1e-9) & (shared > 0))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs within RADIUS bits."""
@@ -141,22 +165,31 @@ class BenchmarkIndex:
         # shared weight >= s/(1+s) * (both weights) is needed to reach similarity s
         least = self.similarity / (1 + self.similarity)
         for items in self.lengths:
-            if items.k != k or items.size > len(grams):
+            if items.k != k:
                 continue
-            size = items.size
+            size = min(items.size, len(grams))  # a shorter text is one window
             may = known[size:] - known[:-size] >= least * (total[size:] - total[:-size]) - 1e-9
             may &= known[size:] > known[:-size]
             starts = np.flatnonzero(may)
             if len(starts) == 0:
                 continue
+            pairs: set[tuple[int, int]] = set()
+            if size == items.size:
+                window, item = items.candidates(simhashes(grams, weights, size, starts))
+                pairs.update(zip(starts[window].tolist(), item.tolist()))
+            else:
+                for j in items.sharing(grams, self.similarity).tolist():
+                    shared = np.concatenate([[0], np.cumsum(weights * np.isin(grams, items.shingles[j][0]))])
+                    bound = shared[starts + size] - shared[starts]
+                    both = total[starts + size] - total[starts] + items.weight[j]
+                    pairs.update((s, j) for s in starts[bound >= least * both - 1e-9].tolist())
             best: dict[int, tuple[float, int]] = {}
-            for w, j in zip(*items.candidates(simhashes(grams, weights, size, starts))):
-                s = int(starts[w])
+            for s, j in sorted(pairs):
                 value = weighted_jaccard((grams[s:s + size], weights[s:s + size]), items.shingles[j])
                 if value >= self.similarity - 1e-12 and value > best.get(j, (0.0, 0))[0]:
                     best[j] = (value, s)
             for j, (value, s) in sorted(best.items()):
-                yield items.ids[j], s, items.n, value
+                yield items.ids[j], s, size + k - 1, value
 
 
 def _shards(benchmark: DataFrame, id_col: str, text_col: str, similarity: float) -> Iterator:

@@ -109,3 +109,25 @@ def test_blocks_return_all_fingerprints_in_the_radius():
         window, item = items.candidates(prints)
         own = {(w, i) for w, i in zip(window.tolist(), item.tolist())}
         assert all(((j, j) in own) == (bits <= dc.RADIUS) for j in range(30))
+
+
+def pairs_of(text, item):
+    return [h[1:] for h in dc.BenchmarkIndex([(1, " ".join(item))]).search([" ".join(text).encode()])[0]]
+
+
+def value_of(text, item):
+    a, b = shingles(item), shingles(text)
+    return sum((a & b).values()) / sum((a | b).values())
+
+
+def test_a_text_shorter_than_the_item_is_one_window(spark):
+    rng = random.Random(7)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(59)]
+    for lost in range(0, 15):
+        for text in (item[lost:], item[:59 - lost], item[:20] + item[20 + lost:]):
+            value = value_of(text, item)
+            want = [(0, 59 - lost, pytest.approx(value))] if value >= dc.SIMILARITY else []
+            assert pairs_of(text, item) == want
+    rows = [(1, " ".join(item[1:-1])), (2, " ".join(item[30:])), (3, ""), (4, "w")]
+    out = dc.without_contaminated(frame(spark, rows), benchmark(spark, [(1, " ".join(item))]))
+    assert sorted(r.doc_id for r in out.collect()) == [2, 3, 4]
