@@ -9,8 +9,10 @@ of each block's neighbourhood return all of them; candidates are verified on
 the shingles themselves. Windows in which shingles of the benchmark carry too
 little weight to reach the similarity are not fingerprinted.
 
-A text shorter than an item is one window, verified where its shingles in the
-item weigh enough to reach the similarity.
+No radius covers the similarity where one shingle weighs more than many others.
+So windows whose shingles in an item weigh enough to reach the similarity with
+it are verified too, whatever the fingerprints: the result is that of comparing
+all windows. A text shorter than an item is one window.
 """
 
 from __future__ import annotations
@@ -177,12 +179,12 @@ class BenchmarkIndex:
             if size == items.size:
                 window, item = items.candidates(simhashes(grams, weights, size, starts))
                 pairs.update(zip(starts[window].tolist(), item.tolist()))
-            else:
-                for j in items.sharing(grams, self.similarity).tolist():
-                    shared = np.concatenate([[0], np.cumsum(weights * np.isin(grams, items.shingles[j][0]))])
-                    bound = shared[starts + size] - shared[starts]
-                    both = total[starts + size] - total[starts] + items.weight[j]
-                    pairs.update((s, j) for s in starts[bound >= least * both - 1e-9].tolist())
+            # what the radius misses: few heavy shingles, shorter texts
+            for j in items.sharing(grams, self.similarity).tolist():
+                shared = np.concatenate([[0], np.cumsum(weights * np.isin(grams, items.shingles[j][0]))])
+                bound = shared[starts + size] - shared[starts]
+                both = total[starts + size] - total[starts] + items.weight[j]
+                pairs.update((s, j) for s in starts[bound >= least * both - 1e-9].tolist())
             best: dict[int, tuple[float, int]] = {}
             for s, j in sorted(pairs):
                 value = weighted_jaccard((grams[s:s + size], weights[s:s + size]), items.shingles[j])

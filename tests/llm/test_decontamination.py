@@ -131,3 +131,17 @@ def test_a_text_shorter_than_the_item_is_one_window(spark):
     rows = [(1, " ".join(item[1:-1])), (2, " ".join(item[30:])), (3, ""), (4, "w")]
     out = dc.without_contaminated(frame(spark, rows), benchmark(spark, [(1, " ".join(item))]))
     assert sorted(r.doc_id for r in out.collect()) == [2, 3, 4]
+
+
+def test_a_heavy_word_loses_no_similar_window():
+    rng = random.Random(8)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(59)]
+    n = 0
+    for letters in range(20, 351, 15):
+        for at in (0, 58):
+            odd = [*item[:at], "".join(rng.choices("abcdefghij/:.", k=letters)), *item[at + 1:]]
+            for text, own in ((odd, item), (item, odd), (odd, [*odd[:5], "x" * 30, *odd[6:]])):
+                value = value_of(text, own)
+                assert pairs_of(text, own) == ([(0, 59, pytest.approx(value))] if value >= dc.SIMILARITY else [])
+                n += value >= dc.SIMILARITY
+    assert n > 20
