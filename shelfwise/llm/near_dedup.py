@@ -127,9 +127,11 @@ def _signatures_of(k: int):
             for table in band_keys(owner, value, part.num_rows):
                 offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * table.shape[1])
                 lists.append(pa.ListArray.from_arrays(offsets, pa.array(table.view(np.int64).reshape(-1))))
+            more = [c for c in part.schema.names if c not in ("id", "text")]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(sizes.astype(np.int64)), pa.array(sig, pa.binary()), *lists],
-                ["id", "n_shingles", "node", "bands", "sketch"])
+                [part.column("id"), pa.array(sizes.astype(np.int64)), pa.array(sig, pa.binary()), *lists,
+                 *map(part.column, more)],
+                ["id", "n_shingles", "node", "bands", "sketch", *more])
     return emit
 
 
@@ -265,23 +267,18 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         round_ += 1
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row.
+def _row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col))
 
-    Documents are linked when their sets of ``shingle``-word shingles (words
-    lower-cased, A-Z) have a Jaccard similarity of at least ``percent`` / 100;
-    ``component_id`` is the smallest id reachable over links. Null and empty
-    texts have empty sets and are linked with nothing. A row without id is
-    linked with nothing, has a null component and is kept. Repeated rows, and
-    rows that share an id, get the component of their own text. Other columns
-    are ignored; an empty table gives no rows.
-    """
+
+def _named(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, keyed: bool = False) -> DataFrame:
+    """(id, n_shingles, node, component_id), with ``keyed`` also the row's key."""
     slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
-    signed = staged(slim.mapInArrow(
-        _signatures_of(shingle), f"id {kind}, n_shingles long, node binary, bands array<long>, sketch array<long>"),
-        "signatures")
+    key = [_row_key(id_col, text_col).alias("row_key")] if keyed else []
+    signed = staged(docs.select(*id_and_text(docs, id_col, text_col), *key).mapInArrow(
+        _signatures_of(shingle), f"id {kind}, n_shingles long, node binary, bands array<long>, sketch array<long>"
+        + ", row_key long" * keyed), "signatures")
     usable = signed.where("id is not null and node is not null")
     nodes = staged(usable.groupBy("node").agg(F.min(F.struct("id", "n_shingles", "bands", "sketch")).alias("first"))
                    .select("node", "first.*"), "nodes")
@@ -300,15 +297,47 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     lowest = named.groupBy("component").agg(F.min("id").alias("component_id"))
     answer = named.join(lowest, "component").select("node", "component_id")
     own = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return (signed.select("id", "n_shingles", "node").join(answer, "node", "left")
-            .select(F.col("id").alias(id_col), "n_shingles", own.alias("component_id"),
-                    F.coalesce(F.col("id") == own, F.lit(True)).alias("kept")))
+    return (signed.drop("bands", "sketch").join(answer, "node", "left").withColumn("component_id", own))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row.
+
+    Documents are linked when their sets of ``shingle``-word shingles (words
+    lower-cased, A-Z) have a Jaccard similarity of at least ``percent`` / 100;
+    ``component_id`` is the smallest id reachable over links. Null and empty
+    texts have empty sets and are linked with nothing. A row without id is
+    linked with nothing, has a null component and is kept. Repeated rows, and
+    rows that share an id, get the component of their own text. Other columns
+    are ignored; an empty table gives no rows.
+    """
+    found = _named(docs, shingle, percent, id_col, text_col)
+    return found.select(F.col("id").alias(id_col), "n_shingles", "component_id",
+                        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
                             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose id is the smallest of
-    its component (see :func:`near_duplicates`); rows without id stay."""
-    found = near_duplicates(docs, shingle, percent, id_col, text_col)
-    gone = found.groupBy(id_col).agg(F.max("kept").alias("_kept")).where(~F.col("_kept")).select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+    """One row of each component (see :func:`near_duplicates`), all columns as
+    they are: of its smallest id, and of that id's texts in it the one with the
+    smallest hash. Rows repeated with the same id and text are one document; a
+    text without words is linked with nothing, but its repeated rows go too. Rows
+    without id stay."""
+    found = _named(docs, shingle, percent, id_col, text_col, keyed=True).where("id is not null")
+    rows = staged(found.groupBy("id", "row_key", "component_id").agg(F.count("*").alias("n"), F.first("node").alias("node")),
+                  "rows")
+    # of a component's smallest id, the text that stays; a text without words has no others
+    first = (rows.where("id = component_id and node is not null").groupBy("component_id")
+             .agg(F.min("row_key").alias("stays")))
+    rows = rows.join(first, "component_id", "left")
+    stays = F.col("node").isNull() | ((F.col("id") == F.col("component_id")) & (F.col("row_key") == F.col("stays")))
+    rows = staged(rows.select(F.col("id").alias("_id"), F.col("row_key").alias("_row_key"), "n", stays.alias("stays"))
+                  .where("n > 1 or not stays"), "rows")
+    own = (docs[id_col] == rows["_id"]) & (_row_key(id_col, text_col) == rows["_row_key"])
+    out = docs.join(rows, own, "left_anti")
+    again = rows.where("stays")
+    if not again.isEmpty():
+        own = (docs[id_col] == again["_id"]) & (_row_key(id_col, text_col) == again["_row_key"])
+        out = out.unionByName(docs.join(again, own, "left_semi").dropDuplicates([id_col, text_col]))
+    return out.select(docs.columns)

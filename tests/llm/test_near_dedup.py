@@ -112,3 +112,13 @@ def test_sketches_never_rule_out_a_link(size):
     deviation = (expected * (1 - expected) / samples) ** 0.5
     assert np.mean(agree) > expected - 0.02 and np.std(agree) < 1.15 * deviation
     assert min(agree) > expected - nd.SKETCH_DEVIATIONS * deviation
+
+
+def test_stage_keeps_one_row_where_rows_and_ids_repeat(spark):
+    a, b = "a b c d e f g h i j", "k l m n o p q r s t"
+    rows = [(1, a), (1, a), (2, a), (2, b), (2, b), (3, b), (4, b), (5, None), (5, None), (6, "A B c d e f g h i j"),
+            (7, "u v w x y z"), (7, "U v w x y z"), (None, a), (None, a)]
+    out = nd.without_near_duplicates(frame(spark, rows, extra=True)).collect()
+    assert len([r for r in out if r.doc_id == 7]) == 1
+    assert sorted(((r.doc_id, r.text) for r in out if r.doc_id != 7), key=repr) == sorted(
+        [(1, a), (2, b), (5, None), (None, a), (None, a)], key=repr)
