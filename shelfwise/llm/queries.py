@@ -18,6 +18,7 @@ from . import (
     pii,
     quality,
     simhash_dedup,
+    spelling_variants,
     substring_dedup,
     token_counts,
 )
@@ -79,6 +80,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.similar_documents(read_table(spark, sf_dir, "documents"))
 
@@ -138,7 +143,8 @@ FROM documents LEFT JOIN kept USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_substring_dedup, op3_decontamination, op4_lm_scoring, op5_near_dedup,
-        op6_fingerprints, op7_packing, op8_pii, op9_quality, op10_line_dedup, op13_simhash_dedup)}
+        op6_fingerprints, op7_packing, op8_pii, op9_quality, op10_line_dedup, op11_spelling_variants,
+        op13_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
