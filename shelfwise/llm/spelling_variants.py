@@ -156,7 +156,7 @@ def points_of(words: list[bytes]) -> np.ndarray:
 
 
 def _bits(points: np.ndarray) -> np.ndarray:
-    return np.unpackbits(points.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+    return np.unpackbits(np.ascontiguousarray(points, "<u8").view(np.uint8), axis=1, bitorder="little")
 
 
 def _cut(bits: np.ndarray) -> int | None:
