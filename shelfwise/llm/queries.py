@@ -16,6 +16,7 @@ from . import (
     near_dedup,
     packing,
     pii,
+    prefix_trie,
     quality,
     simhash_dedup,
     spelling_variants,
@@ -84,6 +85,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.spelling_variants(read_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.similar_documents(read_table(spark, sf_dir, "documents"))
 
@@ -144,7 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_substring_dedup, op3_decontamination, op4_lm_scoring, op5_near_dedup,
         op6_fingerprints, op7_packing, op8_pii, op9_quality, op10_line_dedup, op11_spelling_variants,
-        op13_simhash_dedup)}
+        op12_prefix_trie, op13_simhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
