@@ -19,7 +19,7 @@ from shelfwise.operators import baselines, ids, metrics, prep, ranking, split, t
 from shelfwise.plans import fixtures_sql as S
 from shelfwise.schema import ITEM, RATING, SCORE, TS, USER
 from shelfwise.plans.pipelines import stored
-from shelfwise.sources import sinks, tables
+from shelfwise.sources import sinks, tables, versioned
 from shelfwise.streaming.ingest import run_dir
 from shelfwise.streaming.monitor import tumbling_activity
 from shelfwise.streaming.upsert import upsert
@@ -710,15 +710,17 @@ def daily_activity(spark, sf_dir):
     return tumbling_activity(tables.interactions(spark, sf_dir), "1 day", exact_users=True)
 
 
-@register(
-    "upsert_latest",
+_LATEST = (
     S.with_ctes(S.INTERACTIONS, S.SPLIT3)
     + """SELECT user_id, item_id, rating, ts FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, item_id ORDER BY ts DESC, rating DESC) AS rn
   FROM (SELECT user_id, item_id, rating, ts FROM split3 WHERE part IN ('train', 'val')
         UNION ALL
-        SELECT user_id, item_id, rating, ts FROM split3 WHERE part IN ('val', 'test'))) WHERE rn = 1""",
+        SELECT user_id, item_id, rating, ts FROM split3 WHERE part IN ('val', 'test'))) WHERE rn = 1"""
 )
+
+
+@register("upsert_latest", _LATEST)
 def upsert_latest(spark, sf_dir):
     """K4 in batch: a snapshot (train + val) upserted with a change set
     (val + test): latest row per (user, item) wins."""
@@ -728,3 +730,17 @@ def upsert_latest(spark, sf_dir):
     base = tagged.filter(F.col("part").isin("train", "val")).drop("part")
     changes = tagged.filter(F.col("part").isin("val", "test")).drop("part")
     return upsert(base, changes, [USER, ITEM], order=[TS, RATING])
+
+
+@register("merge_buckets", _LATEST)
+def merge_buckets(spark, sf_dir):
+    """K4 at rest: the same upsert as two merges into a bucketed table, each
+    rewriting the touched buckets only; the last snapshot."""
+    tagged = stored(split.assign_parts(
+        tables.interactions(spark, sf_dir), (0.8, 0.1, 0.1), ("train", "val", "test")
+    ))
+    path = run_dir(spark, "merge")
+    versioned.create(tagged.filter(F.col("part").isin("train", "val")).drop("part"), path, [USER, ITEM], [TS, RATING], 16)
+    for part in ("val", "test"):
+        versioned.merge(tagged.filter(F.col("part") == part).drop("part"), path)
+    return versioned.read(spark, path)

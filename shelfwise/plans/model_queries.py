@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.operators import als, ids, neural, prep, scoring, split, topk
+from shelfwise.operators import als, ids, least_squares, metrics, ncf, neural, prep, scoring, split, topk
 from shelfwise.plans import fixtures_sql as S
 from shelfwise.plans.catalog import K, register
 from shelfwise.plans.pipelines import run_als, run_neural, run_serving, stored
@@ -20,6 +20,9 @@ from shelfwise.schema import ITEM, RATING, USER
 from shelfwise.sources import tables
 
 
+PRUNED_LEAF = 16
+
+
 def indexed_parts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """F1 with ids through the J1 dictionaries (ALS needs the int range),
     split 80/20 by pair hash."""
@@ -79,24 +82,36 @@ def als_topk_unseen(spark, sf_dir):
     return run_serving(parts["test"], uf, itf, K, exclusions=parts["train"].select(USER, ITEM))
 
 
-@register(
-    "score_catalogue",
+_CATALOGUE = (
     f"""SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
   SELECT u.vec_id AS user_id, i.vec_id AS item_id,
          list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score,
          CAST(row_number() OVER (PARTITION BY u.vec_id
               ORDER BY list_dot_product(CAST(u.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) DESC,
                        i.vec_id) AS INTEGER) AS rank
-  FROM embeddings u, embeddings i) WHERE rank <= {K}""",
+  FROM embeddings u, embeddings i) WHERE rank <= {K}"""
 )
-def score_catalogue(spark, sf_dir):
-    """C5/J5 with a dot product: every vector of ``embeddings`` scored
-    against the whole catalogue of vectors, top-k per vector, blocked."""
+
+
+def _catalogue(spark, sf_dir, scorer):
     vec = tables.vectors(spark, sf_dir)
     users = vec.select(F.col("vec_id").alias(USER), F.col("embedding").alias("features"))
     items = vec.select(F.col("vec_id").alias(ITEM), F.col("embedding").alias("features"))
-    out = scoring.topk_vectors(users, items, K)
-    return out.withColumn("rank", F.col("rank").cast("int"))
+    return scoring.topk_vectors(users, items, K, scorer).withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("score_catalogue", _CATALOGUE)
+def score_catalogue(spark, sf_dir):
+    """C5/J5 with a dot product: every vector of ``embeddings`` scored
+    against the whole catalogue of vectors, top-k per vector, blocked."""
+    return _catalogue(spark, sf_dir, scoring.DotScorer())
+
+
+@register("score_catalogue_pruned", _CATALOGUE)
+def score_catalogue_pruned(spark, sf_dir):
+    """The same top-k, scoring only blocks of items whose bound reaches
+    the user's k-th best score."""
+    return _catalogue(spark, sf_dir, scoring.DotScorer(leaf=PRUNED_LEAF))
 
 
 def indexed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,6 +230,22 @@ def als_topk_unseen_counts(spark, sf_dir):
     return _serving_counts(recs, parts["train"])
 
 
+@register(
+    "als_topk_pruned_work",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
+    + """SELECT (SELECT count(DISTINCT user_id) FROM idx_train WHERE user_id IN (SELECT user_id FROM idx_test))
+       * (SELECT count(DISTINCT item_id) FROM idx_train) AS pairs, true AS below_half""",
+)
+def als_topk_pruned_work(spark, sf_dir):
+    """All known test users against the catalogue of ALS factors; whether
+    the bounds spare more than half of the scores."""
+    model, parts = fitted(spark, sf_dir)
+    uf, itf = als.factors(model)
+    wanted = uf.join(parts["test"].select(USER).distinct(), USER, "left_semi")
+    work = scoring.scoring_work(wanted, itf, K, scoring.DotScorer(leaf=PRUNED_LEAF), parts["train"].select(USER, ITEM))
+    return work.select("pairs", (F.col("scored") * 2 < F.col("pairs")).alias("below_half"))
+
+
 @register(
     "als_topk_single_user",
     S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
@@ -281,3 +312,73 @@ def als_implicit(spark, sf_dir):
         F.col(USER).cast("int").alias(USER), F.col(ITEM).cast("int").alias(ITEM), RATING)
     model = als.fit(weights, als.AlsParams(implicit_prefs=True, alpha=10.0))
     return als.predict(model, weights)
+
+
+# ------------------------------------- embeddings learned with the network
+
+#: Fewer, larger steps than the library's defaults.
+NCF = ncf.NcfParams(epochs=4, batches=4, learning_rate=0.01)
+
+
+def _joint(spark, sf_dir):
+    parts = split.train_val_test_split(stored(indexed_matrix(spark, sf_dir)))
+    return ncf.fit(parts["train"], NCF), parts
+
+
+@register("ncf_evaluate")
+def ncf_evaluate(spark, sf_dir):
+    """J4 + J7: held-out cross-entropy and accuracy of the network whose
+    embeddings are learned with it."""
+    model, parts = _joint(spark, sf_dir)
+    return metrics.binary_metrics(ncf.score(model, neural.with_label(parts["test"])))
+
+
+@register(
+    "ncf_score_pairs",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX3)
+    + """SELECT CAST(user_id AS BIGINT) AS user_id, CAST(item_id AS BIGINT) AS item_id,
+       CASE WHEN rating >= 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS label, true AS in_range
+FROM idx_test WHERE user_id IN (SELECT user_id FROM idx_train) AND item_id IN (SELECT item_id FROM idx_train)""",
+)
+def ncf_score_pairs(spark, sf_dir):
+    """The test pairs that are scored, their labels, probabilities in (0, 1)."""
+    model, parts = _joint(spark, sf_dir)
+    return ncf.score(model, neural.with_label(parts["test"])).select(
+        F.col(USER).cast("bigint").alias(USER), F.col(ITEM).cast("bigint").alias(ITEM), "label",
+        F.col("probability").between(0.0, 1.0).alias("in_range"))
+
+
+@register("ncf_topk_counts", S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX3) + _COUNTS)
+def ncf_topk_counts(spark, sf_dir):
+    """J5 + B13 by the same network: min(k, unseen items) for each known test user."""
+    model, parts = _joint(spark, sf_dir)
+    users, items = model.factors()
+    train = parts["train"].select(USER, ITEM)
+    wanted = users.join(parts["test"].select(USER).distinct(), USER, "left_semi")
+    return _serving_counts(scoring.topk_vectors(wanted, items, K, model.scorer(), train), train)
+
+
+# ------------------------------------------------- ALS with split hot keys
+
+@register(
+    "als_split_agreement",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
+    + """SELECT 'user' AS side, CAST(user_id AS BIGINT) AS id, true AS equal FROM (SELECT DISTINCT user_id FROM idx_train)
+UNION ALL SELECT 'item', CAST(item_id AS BIGINT), true FROM (SELECT DISTINCT item_id FROM idx_train)""",
+)
+def als_split_agreement(spark, sf_dir):
+    """Per id, whether ALS with split keys and Spark ML's, from the same
+    start and after the same iterations, have the same vector."""
+    train = stored(indexed_parts(spark, sf_dir)["train"])
+    params = als.AlsParams(max_iter=3)
+    start, _ = als.factors(als.fit(train, als.AlsParams(max_iter=0)))
+    theirs = als.factors(als.fit(train, params))
+    mine = least_squares.fit(train, least_squares.SplitAlsParams(max_iter=params.max_iter), start=start)
+    out = None
+    for side, column, a, b in zip(("user", "item"), (USER, ITEM), mine, theirs):
+        b = b.select(F.col(column).cast("bigint").alias("id"), F.col("features").cast("array<double>").alias("b"))
+        apart = F.array_max(F.zip_with("features", "b", lambda x, y: F.abs(x - y)))
+        own = (a.withColumnRenamed(column, "id").join(b, "id", "full")
+               .select(F.lit(side).alias("side"), "id", F.coalesce(apart < 1e-3, F.lit(False)).alias("equal")))
+        out = own if out is None else out.unionByName(own)
+    return out

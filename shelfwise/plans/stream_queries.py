@@ -2,9 +2,9 @@
 
 Each one derives its input files from the given tables with Spark, runs the
 stream to completion (``availableNow``) into a sink under the shared
-checkpoint folder, and returns the sink's contents as a DataFrame. With one
-micro-batch over all files, results equal the batch operators', which is what
-the oracles check; late-data behaviour is covered by the tests.
+checkpoint folder, and returns the sink's contents as a DataFrame. Rows arrive
+in several micro-batches of ascending event time; results equal the batch
+operators', which is what the oracles check, with late rows left out.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import epoch_to_ts, instant_to_ntz, ntz_to_instant, ts_to_epoch
+from shelfwise.functions.columns import epoch_to_ts, instant_to_ntz, ntz_to_instant, split_hash, ts_to_epoch
 from shelfwise.operators import als
 from shelfwise.plans.catalog import K, register
 from shelfwise.plans import fixtures_sql as S
@@ -137,6 +137,45 @@ def stream_topk_refresh_counts(spark, sf_dir):
     return _serving_counts(*_refreshed(spark, sf_dir))
 
 
+_NEW_USER = f"{S.split_hash('user_id')} < {S.share(0.2)}"
+
+
+def _folded(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(recommendations, seen pairs) of a refresh stream whose model has not
+    seen a fifth of the users."""
+    parts = indexed_parts(spark, sf_dir)
+    new = split_hash(USER) < F.lit(S.share(0.2))
+    known = stored(parts["train"].where(~new))
+    uf, itf = als.factors(als.fit(known))
+    landing, run, files = _landed(spark, parts["test"], "fold-in", F.col("timestamp"))
+    stream = spark.readStream.schema(spark.read.parquet(landing).schema).option("maxFilesPerTrigger", files).parquet(landing)
+    out = os.path.join(run, "recs")
+    q = ingest.refresh_topk(stream, uf, itf, K, known.select(USER, ITEM), out, os.path.join(run, "checkpoint"),
+                            fold_in=als.AlsParams().reg_param)
+    q.awaitTermination()
+    seen = known.select(USER, ITEM).unionByName(parts["test"].where(new).select(USER, ITEM))
+    return ingest.latest_recommendations(spark, out), seen
+
+
+@register(
+    "stream_topk_fold_in",
+    S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
+    + f""", known AS (SELECT * FROM idx_train WHERE NOT ({_NEW_USER})),
+seen AS (
+  SELECT user_id, item_id FROM known
+  UNION ALL SELECT user_id, item_id FROM idx_test WHERE {_NEW_USER} AND item_id IN (SELECT item_id FROM known))
+SELECT CAST(user_id AS BIGINT) AS user_id, CAST(least({K}, n_items - n_seen) AS BIGINT) AS n_recs, CAST(0 AS BIGINT) AS n_seen
+FROM (SELECT user_id, count(DISTINCT item_id) AS n_seen FROM seen GROUP BY user_id)
+     JOIN (SELECT DISTINCT user_id FROM idx_test) USING (user_id),
+     (SELECT count(DISTINCT item_id) AS n_items FROM known)
+WHERE n_items > n_seen""",
+)
+def stream_topk_fold_in(spark, sf_dir):
+    """K3: users the model has not seen are folded in from the ratings that
+    streamed in; every test user ends with min(k, unseen items)."""
+    return _serving_counts(*_folded(spark, sf_dir))
+
+
 @register(
     "stream_event_activity",
     """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,

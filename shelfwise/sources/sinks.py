@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import run_stamp
 from shelfwise.operators.ids import dictionary_from_json
 from shelfwise.schema import DICTIONARY, USER
+from shelfwise.sources import versioned
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -93,19 +94,18 @@ def append_metrics(report: DataFrame, path: str, model_version: str = "1.0") ->
 
 
 def save_model(model, path: str, latest_path: str | None = None) -> str:
-    """A10: save a Spark ML model; optionally record it as the latest model
-    (a one-row pointer table), which the serving step reads."""
+    """A10: save a Spark ML model; optionally publish it as the latest one,
+    which the serving step reads. The pointer is switched atomically (see
+    :mod:`shelfwise.sources.versioned`); give each run a path of its own, so that
+    the model it pointed to stays whole."""
     model.write().overwrite().save(path)
     if latest_path is not None:
-        spark = SparkSession.builder.getOrCreate()
-        spark.range(1).select(
-            F.lit(path).alias("path"), F.current_timestamp().alias("saved_at")
-        ).write.mode("overwrite").json(latest_path)
+        versioned.set_pointer(SparkSession.active(), latest_path, path)
     return path
 
 
 def latest_model_path(spark: SparkSession, latest_path: str) -> str:
-    return spark.read.json(latest_path).select("path").first()[0]
+    return versioned.pointer(spark, latest_path)
 
 
 def load_model(cls: type[MLReadable], path: str):

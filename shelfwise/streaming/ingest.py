@@ -20,8 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from shelfwise.functions.columns import epoch_to_ts
-from shelfwise.operators import scoring
-from shelfwise.schema import USER
+from shelfwise.operators import least_squares, scoring
+from shelfwise.schema import ITEM, RATING, USER
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.sinks import user_bucket, write_table
 from shelfwise.streaming.monitor import tumbling_activity
@@ -119,15 +119,22 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], into: str) -> D
 
 def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataFrame, k: int,
                  exclusions: DataFrame | None, path: str, checkpoint: str,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, fold_in: float | None = None) -> StreamingQuery:
     """K3: for the users seen in each micro-batch, recompute their exact
     top-k from the model's factors (minus their exclusions) and write them
     as that batch's slice of the recommendation table. Readers take each
     user's rows of the latest batch (:func:`latest_recommendations`).
 
     Exclusions are reduced to distinct pairs once and stored by user bucket
-    (A5), so that a batch reads its users' buckets and not the whole history."""
-    store = os.path.join(path + "-exclusions")
+    (A5), so that a batch reads its users' buckets and not the whole history.
+
+    With ``fold_in`` (the model's ridge) users the model has not seen get
+    vectors too: least squares of all their ratings so far against the fixed item
+    factors (:func:`shelfwise.operators.least_squares.fold_in`). Their ratings are
+    kept by batch and user bucket beside the recommendations, a replayed batch
+    replacing its own; the items they rated are excluded. Without it they get
+    nothing."""
+    store, heard = path + "-exclusions", path + "-unseen"
     spark = user_factors.sparkSession
     if exclusions is not None:
         write_table(exclusions.distinct(), store, bucket_user=USER, buckets=EXCLUSION_BUCKETS)
@@ -139,6 +146,22 @@ def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataF
         if exclusions is not None:
             hit = users.select(user_bucket(USER, EXCLUSION_BUCKETS).alias("b")).distinct().collect()  # few buckets
             own = spark.read.parquet(store).where(F.col("user_bucket").isin([r["b"] for r in hit])).drop("user_bucket")
+        if fold_in is not None:
+            unseen = batch.select(USER, ITEM, RATING).join(user_factors, USER, "left_anti").withColumn(
+                "user_bucket", user_bucket(USER, EXCLUSION_BUCKETS))
+            unseen.write.mode("overwrite").partitionBy("user_bucket").parquet(os.path.join(heard, f"batch_id={batch_id}"))
+            new = unseen.select(USER, "user_bucket").distinct().persist()
+            hit = [r["user_bucket"] for r in new.select("user_bucket").distinct().collect()]  # few buckets
+            ratings = (spark.read.schema(f"{unseen.schema.simpleString()[7:-1].replace(':', ' ')}, batch_id bigint").parquet(heard)
+                       .where(F.col("user_bucket").isin(hit) & (F.col("batch_id") <= batch_id))
+                       .join(new.select(USER), USER, "left_semi").select(USER, ITEM, RATING))
+            kind = wanted.schema["features"].dataType
+            wanted = wanted.select(USER, "features").unionByName(
+                least_squares.fold_in(ratings, item_factors, fold_in).select(
+                    F.col(USER).cast(wanted.schema[USER].dataType).alias(USER), F.col("features").cast(kind).alias("features")))
+            rated = ratings.select(USER, ITEM).distinct()
+            own = rated if own is None else own.select(USER, ITEM).unionByName(rated)
+            new.unpersist()
         recs = scoring.topk_vectors(wanted, item_factors, k, exclusions=own)
         recs.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
 
