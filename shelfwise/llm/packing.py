@@ -17,11 +17,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BoundedCache, binary_values, byte_slices, id_and_text, staged
+from .common import BoundedCache, binary_values, byte_slices, flat_words, id_and_text, staged
 from .tokenizers_io import broadcast_model, tokenizer_of
 
 SEQUENCE = 4096
@@ -29,11 +30,14 @@ END_ID = 2
 #: Pieces of one length are ranked in so many parts, since one length may hold most rows.
 RANK_PARTS = 64
 
-_PUNCTUATION = b".,"
+_PUNCTUATION = ".,"
+_TOGETHER = 512  # words encoded in one call
 
 
 class _WordIds:
-    """Ids of a text as little-endian 32-bit bytes, word by word.
+    """Ids of a text as little-endian 32-bit bytes, word by word: the distinct
+    words of a slice are encoded once (their stems are remembered over slices),
+    and all ids of the slice are gathered by position.
 
     Valid for tokenizers whose pre-tokenizer drops white space and never joins
     across it; texts in which a special token's string may occur are encoded
@@ -49,7 +53,12 @@ class _WordIds:
         enc = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.by_word = enc(probe) == sum((enc(w) for w in probe.split()), [])
         self.cut_tail = enc("ab.,") == enc("ab") + enc(".,") and enc("Ab") == enc("ab")
-        self.words = BoundedCache()
+        # which tokens end a word, where the model marks that
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.stems = BoundedCache()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -57,40 +66,85 @@ class _WordIds:
                                                    add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
 
-    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
-        """(lower-cased word, points and commas behind it); the tail is cut off
-        only behind an ASCII letter, where it is a token of its own."""
-        stem = word.rstrip(_PUNCTUATION)
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """As :meth:`encode`; words of letters only are encoded many at a time
+        and told apart by the tokens that end a word, one each. Where their number
+        differs (a letter that is taken apart) each word is encoded alone."""
+        if not self.by_word or not self.ends.any():
+            return self.encode(words)
+        plain = [w for w in words if w.decode("utf-8", "replace").isalpha()]
+        groups = [plain[i:i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        found: dict[bytes, bytes] = {}
+        for group, ids in zip(groups, self.encode([b" ".join(g) for g in groups])):
+            last = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
+            if len(last) == len(group) and 4 * last[-1] == len(ids):
+                found.update(zip(group, (ids[4 * a:4 * b] for a, b in zip([0, *last.tolist()], last.tolist()))))
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self.encode(rest)))
+        return [found[w] for w in words]
+
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Of distinct words: the stem in lower case, and points and commas
+        behind it, which are cut off only behind an ASCII letter, where they are
+        tokens of their own."""
+        text = words.view(pa.string())
         if not self.cut_tail:
-            return word, b""
-        if stem and stem[-1:].isalpha():
-            return stem.lower(), word[len(stem):]
-        return word.lower(), b""
-
-    def learn(self, words: set[bytes]) -> None:
-        cut = [(w, *self._stem(w)) for w in words]
-        new = list({s for _, *parts in cut for s in parts if s and s not in self.stems})
-        self.stems.update(zip(new, self.encode(new)))
+            return words, pa.array([b""] * len(words), pa.binary())
+        stem = pc.ascii_rtrim(text, characters=_PUNCTUATION)
+        data = np.frombuffer(stem.buffers()[2] or b"", np.uint8)
+        ends = np.frombuffer(stem.buffers()[1], np.int32)[stem.offset:stem.offset + len(stem) + 1]
+        letter = np.zeros(len(stem), bool)
+        some = np.flatnonzero(np.diff(ends))
+        last = data[ends[some + 1] - 1] | 32
+        letter[some] = (97 <= last) & (last <= 122)
+        stem = pc.if_else(pa.array(letter), stem, text)
+        more = pc.subtract(pc.binary_length(text), pc.binary_length(stem)).to_numpy()
+        tails = np.full(len(words), b"", object)
+        cut = np.flatnonzero(more)
+        tails[cut] = [w[-n:] for w, n in zip(words.take(pa.array(cut)).to_pylist(), more[cut].tolist())]
+        return pc.ascii_lower(stem).view(pa.binary()), pa.array(tails, pa.binary())
+
+    def _flat(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index of each part's distinct value, ids of all distinct values, where
+        each value's ids begin)."""
+        coded = parts.dictionary_encode()
+        values = coded.dictionary.to_pylist()
+        new = [v for v in values if v and v not in self.stems]
+        self.stems.update(zip(new, self._encode_words(new)))
         self.stems[b""] = b""
-        for w, stem, tail in cut:
-            self.words[w] = self.stems[stem] + self.stems[tail]
+        ids = [self.stems[v] for v in values]
+        starts = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids], dtype=np.int64)])
+        return coded.indices.to_numpy(), np.frombuffer(b"".join(ids), "<u4"), starts
+
+    def _gathered(self, texts: list[bytes]) -> list[bytes]:
+        words, first = flat_words(texts)
+        if not words:
+            return [b""] * len(texts)
+        coded = pa.array(words, pa.binary()).dictionary_encode()
+        code = coded.indices.to_numpy()
+        stem, tail = map(self._flat, self._parts(coded.dictionary))
+        # per word the ids of its stem, then of its tail
+        ids = np.concatenate([stem[1], tail[1]])
+        begin, size = np.empty(2 * len(code), np.int64), np.empty(2 * len(code), np.int64)
+        for at, (index, _, starts), shift in ((0, stem, 0), (1, tail, len(stem[1]))):
+            own = index[code]
+            begin[at::2] = starts[own] + shift
+            size[at::2] = starts[own + 1] - starts[own]
+        after = np.cumsum(size)
+        place = np.arange(after[-1]) + np.repeat(begin - (after - size), size)
+        body = ids[place].astype("<u4").tobytes()
+        edge = 4 * np.concatenate([[0], after])[2 * first]
+        return [body[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        self.words.trim()
         self.stems.trim()
         whole = []
         for t in texts:  # words are lower-cased before they are looked up
             lower = t.lower()
             whole.append(not self.by_word or any(s in lower for s in self.special))
-        split = [None if w else t.split() for t, w in zip(texts, whole)]
-        missing: set[bytes] = set()
-        for words in split:
-            if words:
-                missing.update(w for w in words if w not in self.words)
-        self.learn(missing)
         rest = iter(self.encode([t for t, w in zip(texts, whole) if w]))
-        get = self.words.__getitem__
-        return [next(rest) if w else b"".join(map(get, words)) for words, w in zip(split, whole)]
+        found = iter(self._gathered([t for t, w in zip(texts, whole) if not w]))
+        return [next(rest) if w else next(found) for w in whole]
 
 
 _word_ids: dict[bytes, _WordIds] = {}

@@ -1,5 +1,6 @@
 """Operators 1 and 7 against the tokenizer libraries on whole texts."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -98,3 +99,26 @@ def test_histogram_packs_are_counts():
         assert rank == placed[length] and offset + length <= 4096
         placed[length] += n
     assert dict(placed) == histogram and len(runs) < 5000
+
+
+def test_words_encoded_together_have_the_ids_they_have_alone():
+    """Letters of all kinds, some of which the tokenizer takes apart, invalid
+    bytes, words of signs and digits; with a cache that starts over."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+    from shelfwise.llm import packing
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, "rb") as f:
+        encoder = packing._WordIds(f.read())
+    assert encoder.ends.any() and encoder.by_word
+    plain = Tokenizer.from_file(path)
+    rng = random.Random(3)
+    letters = "abcXYZéßÀİŉǅﬁДж日本क́­１²٣0.,'-_!  \n\t"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    texts += ["a" * 3000, ",,..", "<|endoftext|> word", "İstanbul İ", "ét́e", "", " \n"]
+    for part in (texts[:200], texts[200:], texts[:50]):
+        want = [plain.encode(t, add_special_tokens=False).ids for t in part]
+        got = [np.frombuffer(b, "<u4").tolist() for b in encoder.ids([t.encode() for t in part])]
+        assert got == want
