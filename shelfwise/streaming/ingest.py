@@ -155,10 +155,9 @@ def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataF
             ratings = (spark.read.schema(f"{unseen.schema.simpleString()[7:-1].replace(':', ' ')}, batch_id bigint").parquet(heard)
                        .where(F.col("user_bucket").isin(hit) & (F.col("batch_id") <= batch_id))
                        .join(new.select(USER), USER, "left_semi").select(USER, ITEM, RATING))
-            kind = wanted.schema["features"].dataType
-            wanted = wanted.select(USER, "features").unionByName(
-                least_squares.fold_in(ratings, item_factors, fold_in).select(
-                    F.col(USER).cast(wanted.schema[USER].dataType).alias(USER), F.col("features").cast(kind).alias("features")))
+            known = wanted.select(USER, F.col("features").cast("array<double>").alias("features"))
+            wanted = known.unionByName(least_squares.fold_in(ratings, item_factors, fold_in).select(
+                F.col(USER).cast(known.schema[USER].dataType).alias(USER), "features"))
             rated = ratings.select(USER, ITEM).distinct()
             own = rated if own is None else own.select(USER, ITEM).unionByName(rated)
             new.unpersist()
