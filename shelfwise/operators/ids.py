@@ -93,12 +93,41 @@ def build_dictionary(
     """
     keys = df.select(F.col(key).alias("key")).where(F.col("key").isNotNull()).distinct()
     indexed = dense_index(keys, ["key"], out="idx", num_partitions=num_partitions)
-    return indexed.select(
-        "key",
-        F.when(F.col("idx") <= MAX_INT_INDEX, F.col("idx").cast("int"))
-        .otherwise(F.raise_error(F.lit("dictionary exceeds the int index range")))
-        .alias("idx"),
-    )
+    return indexed.select("key", _int_index(F.col("idx")).alias("idx"))
+
+
+def _int_index(idx: Column) -> Column:
+    return F.when(idx <= MAX_INT_INDEX, idx.cast("int")).otherwise(
+        F.raise_error(F.lit("dictionary exceeds the int index range")))
+
+
+def dictionary_by_appearance(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """``(key, idx int)`` with idx dense from 0 in order of first appearance:
+    by the least ``order`` columns of a key's rows (nulls first), ties by the key.
+    Null keys are not indexed."""
+    return extend_dictionary(None, df, key, order)
+
+
+def extend_dictionary(dictionary: DataFrame | None, df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """J1 for data that keeps coming: ``dictionary`` with the unseen keys of
+    ``df`` behind its largest index, in order of first appearance (of the key,
+    without ``order``). Old keys keep their indexes, so models and tables
+    written with them stay valid.
+
+    A key's rows are combined map-side to one, so a hot key costs one row per
+    task; old keys leave by an anti join on unique keys before the numbering."""
+    names = [f"_o{i}" for i in range(len(order))]
+    rows = df.select(F.col(key).alias("key"), *[F.col(c).alias(n) for c, n in zip(order, names)]).where("key is not null")
+    seen = F.min(F.struct(*names)).alias("_seen") if names else F.lit(0).alias("_seen")
+    keys = rows.groupBy("key").agg(seen)
+    if dictionary is not None:
+        keys = keys.join(dictionary.select("key"), "key", "left_anti")
+    placed = dense_index(keys, ["_seen", "key"], out="idx").select("key", "idx")
+    if dictionary is None:
+        return placed.select("key", _int_index(F.col("idx")).alias("idx"))
+    ahead = dictionary.agg(F.coalesce(F.max("idx"), F.lit(-1)).cast("bigint") + 1).scalar()
+    return dictionary.select("key", "idx").unionByName(
+        placed.select("key", _int_index(F.col("idx") + ahead).alias("idx")))
 
 
 def encode(df: DataFrame, dictionary: DataFrame, column: str, out: str | None = None) -> DataFrame:

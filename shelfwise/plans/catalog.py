@@ -744,3 +744,36 @@ def merge_buckets(spark, sf_dir):
     for part in ("val", "test"):
         versioned.merge(tagged.filter(F.col("part") == part).drop("part"), path)
     return versioned.read(spark, path)
+
+
+@register(
+    "grow_dictionary",
+    S.with_ctes(S.INTERACTIONS, S.RAW)
+    + """, day AS (SELECT user_id, "timestamp" AS t, ("timestamp" - (SELECT min("timestamp") FROM raw)) // 259200 AS d FROM raw),
+first AS (SELECT user_id, min(d) AS d, min(t) AS t FROM day GROUP BY user_id),
+step AS (SELECT *, CASE WHEN d < 10 THEN 0 WHEN d < 30 THEN 1 ELSE 2 END AS s FROM first)
+SELECT user_id AS key, CAST(row_number() OVER (ORDER BY s, t, user_id) - 1 AS INTEGER) AS idx FROM step""",
+)
+def grow_dictionary(spark, sf_dir):
+    """J1 in three increments of time: ids in order of first appearance, unseen
+    ones behind the largest index."""
+    raw = stored(tables.raw_interactions(spark, sf_dir))
+    day = F.floor((F.col("timestamp") - raw.agg(F.min("timestamp")).scalar()) / 259200)
+    found = ids.dictionary_by_appearance(raw.where(day < 10), USER, ["timestamp"])
+    for step in ((day >= 10) & (day < 30), day >= 30):
+        found = ids.extend_dictionary(stored(found), raw.where(step), USER, ["timestamp"])
+    return found
+
+
+@register(
+    "split_exact",
+    S.with_ctes(S.INTERACTIONS, S.RAW)
+    + """SELECT user_id, item_id, rating, "timestamp",
+       CASE WHEN rn <= floor(n * 0.8::DOUBLE) THEN 'train'
+            WHEN rn <= floor(n * 0.8::DOUBLE) + floor(n * 0.1::DOUBLE) THEN 'val' ELSE 'test' END AS part
+FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(',', user_id, item_id, rating, "timestamp"))) AS rn,
+             count(*) OVER () AS n FROM raw)""",
+)
+def split_exact(spark, sf_dir):
+    """B12 with exact sizes: the raw rows with their part."""
+    return split.exact_parts(stored(tables.raw_interactions(spark, sf_dir)))
