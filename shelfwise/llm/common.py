@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows, for jobs run inside whose rows may
+    be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_staged(df: DataFrame) -> None:
-    """Delete a staged table that nothing will read any more."""
+    """Delete a staged table that nothing will read any more (others stay)."""
+    path = getattr(df, "_staged_path", None)
+    if path is None:
+        return
     spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(df._staged_path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 

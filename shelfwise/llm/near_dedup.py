@@ -13,6 +13,8 @@ Within a bucket a center is compared with every member of another component
 components; then the center leaves the bucket, and the rest go on with new
 centers until each bucket holds one component. So every pair in a bucket is
 either compared or already connected, and groups of copies end after one star.
+The bands come in two waves, 4 and the rest: most of a group of near copies is one
+component after the first and makes hardly any pair in the many bands after it.
 
 Most other pairs of a bucket share a passage and little else. A sketch of four
 bits from each of 128 bins travels with the members, and pairs whose sketches
@@ -23,7 +25,7 @@ are not compared on full sets; sets under 64 shingles are always compared.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    arrow_rows,
     binary_values,
     byte_slices,
+    drop_staged,
     flat_words,
     id_and_text,
     mix,
@@ -54,6 +58,10 @@ SKETCH_DEVIATIONS = 6
 #: Centers per bucket in the second round (the first has one); twice as many in
 #: each round after it, so that the number of rounds is logarithmic.
 CENTERS = 8
+#: Bands that are bucketed at a time; components merge in between.
+WAVES = (4, BANDS - 4)
+#: Pairs of sets per Arrow batch: a set has 8 bytes a word.
+PAIR_ROWS = 256
 
 
 # -- sets and signatures, inside tasks ----------------------------------------
@@ -152,8 +160,8 @@ def _confirmed(percent: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for i, (x, y) in enumerate(zip(batch.column("sa"), batch.column("sb"))):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))  # views, no copies
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)
@@ -190,13 +198,16 @@ def components(edges: DataFrame) -> DataFrame:
     current = staged(edges.where("a <> b").select("a", "b"), "edges")
     seen = None
     while True:
-        current = staged(_small_star(_large_star(current)), "edges")
+        before, current = current, staged(_small_star(_large_star(current)), "edges")
+        drop_staged(before)
         now = mark(current)
         if now == seen or not now[0]:
             break
         seen = now
     stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = stars.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out._staged_path = current._staged_path
+    return out
 
 
 # -- the join -----------------------------------------------------------------
@@ -224,19 +235,23 @@ def _may_reach(percent: int, na: Column, nb: Column) -> Column:
     return out
 
 
-def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of all nodes with a link. ``buckets``: (key, node, n, sketch)."""
+def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(node, component) of all nodes with a link, from those so far.
+    ``buckets``: (key, node, n, sketch), staged; ``sets_of(nodes)`` gives the
+    shingle sets of at least these nodes."""
     spark = buckets.sparkSession
-    comps = spark.createDataFrame([], "node binary, component binary")
-    round_ = 0
+    sets, round_ = None, 0
     while True:
         labelled = buckets.join(comps, "node", "left").select(
             "key", "node", "n", *_SKETCH, F.coalesce("component", "node").alias("c"))
         dealt = labelled.repartition("key")
         wide = dealt.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
         still = staged(dealt.join(wide, "key"), "buckets")
+        drop_staged(buckets)
         if still.isEmpty():
+            drop_staged(still)
             return comps
+        sets = sets or sets_of(still.select("node").distinct())
         # the smallest node of each of so many parts of a bucket
         parts = 1 if round_ == 0 else CENTERS << (round_ - 1)
         part = F.pmod(F.xxhash64("node"), F.lit(parts))
@@ -247,12 +262,15 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  .where((F.col("c") != F.col("cb")) & _fits(F.col("n"), F.col("nb"), percent)
                         & _may_reach(percent, F.col("n"), F.col("nb")))
                  .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
-        links = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+        found = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
                  .select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a binary, b binary"))
-        links = staged(links, "links")
-        if not links.isEmpty():
+        with arrow_rows(spark, PAIR_ROWS):
+            found = staged(found, "links")
+        drop_staged(chosen)
+        if not found.isEmpty():
             # edges between the components so far, then their nodes follow
+            links = found
             name = lambda side: (links.join(comps.withColumnRenamed("node", side), side, "left")
                                  .withColumn(side, F.coalesce("component", side)).drop("component"))
             links = name("a")
@@ -260,10 +278,14 @@ def _linked(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             merged = components(links)
             old = comps.unionByName(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(
                 F.min("component").alias("component"))
-            comps = staged(
+            before, comps = comps, staged(
                 old.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
                 .select("node", F.coalesce("to", "component").alias("component")), "components")
+            drop_staged(before)
+            drop_staged(merged)
+        drop_staged(found)
         buckets = staged(still.join(centers, ["key", "node"], "left_anti").select("key", "node", "n", *_SKETCH), "buckets")
+        drop_staged(still)
         round_ += 1
 
 
@@ -282,17 +304,30 @@ def _named(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: s
     usable = signed.where("id is not null and node is not null")
     nodes = staged(usable.groupBy("node").agg(F.min(F.struct("id", "n_shingles", "bands", "sketch")).alias("first"))
                    .select("node", "first.*"), "nodes")
-    keys = nodes.select(F.explode("bands").alias("key"), "node").repartition("key")
-    shared = keys.groupBy("key").agg(F.count("node").alias("m")).where("m > 1").select("key")
-    members = staged(keys.join(shared, "key"), "members")
     known = nodes.select("node", F.col("n_shingles").alias("n"), *[F.get("sketch", F.lit(i)).alias(c) for i, c in enumerate(_SKETCH)])
-    buckets = members.join(known, "node")
-    wanted = nodes.join(members.select("node").distinct(), "node").select("node", "id")
-    sets = staged(
-        slim.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
-        .mapInArrow(_sets_of(shingle), "node binary, shingles binary")
-        .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    comps = _linked(buckets, sets, percent)
+    kept: list[DataFrame] = []
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """Sets of the wanted nodes, made for those that have none yet."""
+        for had in kept:
+            wanted = wanted.join(had.select("node"), "node", "left_anti")
+        wanted = staged(nodes.join(wanted, "node", "left_semi").select("node", "id"), "wanted")
+        kept.append(staged(
+            slim.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
+            .mapInArrow(_sets_of(shingle), "node binary, shingles binary")
+            .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets"))
+        drop_staged(wanted)
+        return reduce(DataFrame.unionByName, kept)
+
+    comps = slim.sparkSession.createDataFrame([], "node binary, component binary")
+    start = 1
+    for size in WAVES:
+        keys = nodes.select(F.explode(F.slice("bands", start, size)).alias("key"), "node").repartition("key")
+        shared = keys.groupBy("key").agg(F.count("node").alias("m")).where("m > 1").select("key")
+        comps = _linked(staged(keys.join(shared, "key").join(known, "node"), "members"), comps, sets_of, percent)
+        start += size
+    for had in kept:
+        drop_staged(had)
     named = nodes.select("node", "id").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("id").alias("component_id"))
     answer = named.join(lowest, "component").select("node", "component_id")
