@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import ipaddress
 import math
 import re
 import string
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -62,10 +64,21 @@ _ALPHABETS = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
 _FIRST_DAY, _LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
 
 
+@lru_cache(maxsize=4096)
+def _letters_beside(c: str) -> str:
+    """The letters of ``c``'s category among the 128 code points around it, for a
+    letter outside ASCII; nothing for other characters."""
+    if c.isascii() or not c.isalpha():
+        return ""
+    kind, first = unicodedata.category(c), ord(c) & ~127
+    return "".join(x for x in map(chr, range(first, first + 128)) if unicodedata.category(x) == kind)
+
+
 def _by_character(cipher: Feistel, tweak: bytes, text: str, alphabets: Iterable[str] = _ALPHABETS) -> str:
     """Permute a string character class by class: digits stay digits, small
-    letters small, and other characters stay."""
-    alphabet = [next((a for a in alphabets if c in a), "") for c in text]
+    letters small, letters outside ASCII among their like, and other characters
+    stay."""
+    alphabet = [next((a for a in alphabets if c in a), "") or _letters_beside(c) for c in text]
     value, n = 0, 1
     for c, a in zip(text, alphabet):
         if a:
@@ -114,14 +127,20 @@ def _iban_ok(text: str) -> bool:
 
 
 def _iban(cipher: Feistel, m: re.Match) -> str | None:
-    text = m[0]
-    plain = text.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or not _iban_ok(plain):
-        return None
+    text, rest = m[0], ""
+    while True:
+        plain = text.replace(" ", "").upper()
+        if 15 <= len(plain) <= 34 and _iban_ok(plain):
+            break
+        text, space, word = text.rpartition(" ")  # a group without digits may be the next word of the text
+        if not text or not word.isalpha():
+            return None
+        rest = space + word + rest
     account = _by_character(cipher, b"iban" + plain[:2].encode(), plain[4:])
     check = 98 - int("".join(str(int(c, 36)) for c in account + plain[:2] + "00")) % 97
     new = iter(f"{plain[:2]}{check:02d}{account}")
-    return "".join(c if c == " " else next(new) for c in text)
+    new = "".join(c if c == " " else next(new) for c in text)
+    return (new.lower() if text[:2].islower() else new) + rest
 
 
 #: Country codes of one and two digits; all others have three.
@@ -139,8 +158,8 @@ def _phone(cipher: Feistel, m: re.Match) -> str | None:
         return None
     ok = lambda s: s[0] in "23456789" and s[3] in "23456789"
     same = ok(digits)  # numbers outside the plan are permuted among themselves
-    if not same and m["number"][3] == " " and m.start("number") == m.start():
-        return None  # three numbers in a row
+    if not same and (m["number"].isdigit() or m["number"][3] == " " and m.start("number") == m.start()):
+        return None  # a number of ten digits, three numbers in a row
     new = cipher.permute(int(digits), 10 ** 10, b"phone", lambda v: ok(str(v).zfill(10)) == same)
     at = m.start("number") - m.start()
     return m[0][:at] + _refill(m["number"], str(new).zfill(10)) + m[0][at + len(m["number"]):]
@@ -170,14 +189,30 @@ def _phone_abroad(cipher: Feistel, m: re.Match) -> str | None:
 
 def _ssn(cipher: Feistel, m: re.Match) -> str | None:
     ok = lambda s: s[:3] not in ("000", "666") and s[0] != "9" and s[3:5] != "00" and s[5:] != "0000"
-    digits = m[0].replace("-", "")
+    digits = re.sub("[ -]", "", m[0])
     if not ok(digits):
         return None
     new = cipher.permute(int(digits), 10 ** 9, b"ssn", lambda v: ok(str(v).zfill(9)))
     return _refill(m[0], str(new).zfill(9))
 
 
+def _ip6(cipher: Feistel, text: str) -> str | None:
+    """An address has the same pseudonym in any notation, written with eight
+    groups where it was, else in the short form; ``::`` and ``::1`` stay."""
+    try:
+        value = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    if value < 2 or not any(c.isdigit() for c in text):
+        return None
+    new = ipaddress.IPv6Address(cipher.permute(value, 1 << 128, b"ip6", lambda v: v > 1))
+    out = new.exploded if len(text) == 39 else str(new)
+    return out.upper() if text.upper() == text else out
+
+
 def _ip(cipher: Feistel, m: re.Match) -> str | None:
+    if m["v6"]:
+        return _ip6(cipher, m[0])
     parts = m[0].split(".")
     if any(int(p) > 255 or str(int(p)) != p for p in parts):
         return None
@@ -188,9 +223,13 @@ def _ip(cipher: Feistel, m: re.Match) -> str | None:
 def _date(cipher: Feistel, m: re.Match) -> str | None:
     """Years 1900 to 2099, as year-month-day, day/month/year or, where that is no
     date, month/day/year. A date has the same pseudonym in any format; days above
-    12 are permuted among themselves, so that it is read in the same order."""
+    12 are permuted among themselves, so that it is read in the same order. Days
+    and months of one digit are written without zeros again."""
     year = m["y1"] or m["y2"]
     month, day = (m["m1"], m["d1"]) if m["y1"] else (m["m2"], m["d2"])
+    bare = min(len(month), len(day)) == 1
+    if bare and m["y1"] and "." in m[0]:
+        return None  # a version
     swapped = not m["y1"] and int(month) > 12
     if swapped:
         month, day = day, month
@@ -204,41 +243,67 @@ def _date(cipher: Feistel, m: re.Match) -> str | None:
     late = date.day > 12
     new = _FIRST_DAY + dt.timedelta(cipher.permute(
         (date - _FIRST_DAY).days, n, b"date", lambda v: ((_FIRST_DAY + dt.timedelta(v)).day > 12) == late))
-    year, month, day = f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}"
+    year, month, day = (str(x).zfill(w) for x, w in ((new.year, 4), (new.month, 2 - bare), (new.day, 2 - bare)))
     parts = (year, month, day) if m["y1"] else (month, day, year) if swapped else (day, month, year)
-    return _refill(m[0], "".join(parts))
+    return (m["s1"] or m["s2"]).join(parts)
 
 
 def _email(cipher: Feistel, m: re.Match) -> str:
     return _by_character(cipher, b"email@" + m["host"].lower().encode(), m["local"]) + "@" + m["host"]
 
 
+#: What a provider puts before a key says whose it is; it stays.
+_KEY_PREFIX = r"(?:gh[opsur]_|github_pat_|(?:sk|pk|rk)_(?:live|test)_|glpat-|xox[abprs]-|AIza)"
+_KEPT = re.compile(rf"(?:AKIA|ASIA)(?=[A-Z0-9]{{16}}$)|{_KEY_PREFIX}")
+#: A longer secret is permuted in parts of so many characters.
+_SECRET_PART = 512
+
+
+def _hidden(cipher: Feistel, value: str) -> str:
+    kept = m[0] if (m := _KEPT.match(value)) else ""
+    alphabets = next(((a,) for a in ("0123456789abcdef", "0123456789ABCDEF") if set(value) <= set(a)), _ALPHABETS)
+    parts = (value[i:i + _SECRET_PART] for i in range(len(kept), len(value), _SECRET_PART))
+    return kept + "".join(_by_character(cipher, b"secret", part, alphabets) for part in parts)
+
+
 def _secret(cipher: Feistel, m: re.Match) -> str:
-    group = next(g for g in ("aws", "quoted", "plain") if m[g])
+    group = next(g for g in ("aws", "prefixed", "pem", "quoted", "single", "plain", "bearer") if m[g])
     value = m[group]
-    kept = value[:4] if group == "aws" else ""
-    alphabets = next(((a,) for a in ("0123456789abcdef", "0123456789ABCDEF") if set(value) <= set(a)), _ALPHABETS)
+    if group == "pem":  # line by line; what names a value and the line ends stay
+        lines = re.split(r"(\\[nr]|\s+)", value) if ":" not in value else re.split(r"(\\[nr]|\n)", value)
+        new = "".join(line if i % 2 or ":" in line else _hidden(cipher, line) for i, line in enumerate(lines))
+    else:
+        new = _hidden(cipher, value)
     at = m.start(group) - m.start()
-    return m[0][:at] + kept + _by_character(cipher, b"secret", value[len(kept):], alphabets) + m[0][at + len(value):]
+    return m[0][:at] + new + m[0][at + len(value):]
 
 
+_ANNOUNCED = r"(?i:token|password|passwd|secret|api_?key)[\"']?\s*[=:]"
+_LOCAL = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0370-\u04ff_.%+-"  # Latin, Greek, Cyrillic
 _FORMATS: dict[str, tuple[str, Callable[[Feistel, re.Match], str | None]]] = {
-    "email": (r"(?<![\w.+-])(?P<local>[A-Za-z0-9][A-Za-z0-9._%+-]*)@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})", _email),
+    "email": (rf"(?<![{_LOCAL}])(?P<local>[{_LOCAL}]+)@(?P<host>(?u:[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{{2,}}))", _email),
     "secret": (r"(?<!\w)(?P<aws>(?:AKIA|ASIA)[A-Z0-9]{16})(?!\w)"
-               r"|(?<!\w)(?i:token|password|passwd|secret|api_?key)\s*[=:]\s*(?:\"(?P<quoted>[^\s\"]{6,})\"|(?P<plain>[^\s\"]{6,}))",
+               rf"|(?<![A-Za-z0-9])(?P<prefixed>{_KEY_PREFIX}[A-Za-z0-9_-]{{16,}})"
+               r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?P<pem>(?:[^-]|-(?!----))+)-----END"
+               rf"|{_ANNOUNCED}\s*(?:(?i:bearer|basic)\s+)?"
+               r"(?:\"(?P<quoted>[^\"\n]{6,})\"|'(?P<single>[^'\n]{6,})'|(?P<plain>[^\s\"'][^\s\"]{5,}))"
+               r"|(?<!\w)(?i:bearer|authorization:\s*basic)\s+(?P<bearer>(?=[A-Za-z._~+/=-]*\d)[A-Za-z0-9._~+/=-]{16,})",
                _secret),
-    "iban": (r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", _iban),
-    "phone": (r"(?<![\w+])(?:(?:\+?1[ .-]?)?(?P<number>\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})"
+    "iban": (r"(?<!\w)(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+             r"|[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?!\w)", _iban),
+    "phone": (r"(?<![\w+])(?:(?:\+?1[ .-]?)?(?P<number>\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}"
+              r"|(?<![.,/-])\d{10}(?![.,/]\d))"
               r"|(?P<abroad>\+\d(?:[ .-]?(?:\(\d{1,4}\)|\d)){7,15})(?!\.\d))(?![\w-])", _phone),
-    "ssn": (r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
-    "date": (r"(?<![\w./-])(?:(?P<y1>\d{4})([-/.])(?P<m1>\d\d)\2(?P<d1>\d\d)"
-             r"|(?P<d2>\d\d)([-/.])(?P<m2>\d\d)\6(?P<y2>\d{4}))(?![\w/-]|\.\d)", _date),
-    "ip": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _ip),
+    "ssn": (r"(?<![\w-])(?:\d{3}-\d{2}-\d{4}|(?<!\d )\d{3} \d{2} \d{4}(?! \d))(?![\w-])", _ssn),
+    "date": (r"(?<![\w./-])(?:(?P<y1>\d{4})(?P<s1>[-/.])(?P<m1>\d\d?)(?P=s1)(?P<d1>\d\d?)(?=T\d\d|(?![\w/-]|\.\d))"
+             r"|(?P<d2>\d\d?)(?P<s2>[-/.])(?P<m2>\d\d?)(?P=s2)(?P<y2>\d{4})(?![\w/-]|\.\d))", _date),
+    "ip": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
+           r"|(?<![\w:.])(?P<v6>(?:[0-9A-Fa-f]{1,4}:|:(?=:)){1,7}(?::|(?::?[0-9A-Fa-f]{1,4}){1,7}))(?![\w:]|\.\d)", _ip),
     "card": (r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)", _card),
 }
 _PATTERNS = {kind: (re.compile(pattern, re.ASCII), write) for kind, (pattern, write) in _FORMATS.items()}
-#: Every format holds a digit, an @ or one of the words that announce a secret.
-_MAYBE = re.compile(rb"[0-9@]|(?i:token|password|passwd|secret|api_?key)\s*[=:]")
+#: Every format holds a digit, an @, the word that announces a secret or its fixed beginning.
+_MAYBE = re.compile(rb"[0-9@]|PRIVATE KEY-----|" + f"{_ANNOUNCED}|{_KEY_PREFIX}".encode())
 
 
 def pseudonymise(text: str, cipher: Feistel) -> tuple[str, dict[str, int]]:
@@ -274,12 +339,18 @@ def _cipher(key: bytes) -> Feistel:
 def pseudonyms(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, n_replaced, n_<kind> for each kind), one row per input row.
 
-    Validated card numbers, IBANs, telephone and social security numbers, IPv4
-    addresses and dates, the local parts of e-mail addresses, and secrets are
-    replaced by keyed pseudonyms of the same format. What looks like one but
-    fails its check stays. Telephone numbers are found in the North American
-    formats and, with + and a country code, in any grouping; local formats of
-    other countries are not. A date that can be read as day/month/year is. Null texts stay null, empty ones empty; null ids and
+    Validated card numbers, IBANs (in capitals or small letters), telephone and
+    social security numbers, IPv4 and IPv6 addresses and dates, the local parts of
+    e-mail addresses, and secrets are replaced by keyed pseudonyms of the same
+    format. What looks like one but fails its check stays. Secrets are values of
+    six characters or more after a word that announces one (quoted ones may hold
+    spaces), bearer tokens, keys with a provider's prefix, which stays, and PEM
+    private keys. Telephone numbers are found in the North American formats (ten
+    digits alone if the plan allows them) and, with + and a country code, in any
+    grouping; local formats of other countries are not. A date that can be read as
+    day/month/year is; dates without separators or with named months, an IPv4
+    address inside an IPv6 one (read as IPv4) and secrets that nothing announces
+    are limits. Null texts stay null, empty ones empty; null ids and
     repeated rows are kept, and equal rows get equal results. Other columns are
     ignored; an empty table gives no rows. A text is handled whole.
     """
