@@ -15,6 +15,7 @@ centers until each bucket holds one component. So every pair in a bucket is
 either compared or already connected, and groups of copies end after one star.
 The bands come in two waves, 4 and the rest: most of a group of near copies is one
 component after the first and makes hardly any pair in the many bands after it.
+The first wave ends after two rounds; its unfinished buckets go on in the second.
 
 Most other pairs of a bucket share a passage and little else. A sketch of four
 bits from each of 128 bins travels with the members, and pairs whose sketches
@@ -55,11 +56,12 @@ SKETCH_BINS = 128
 #: (least set size, independent bins that so many elements give at least).
 SKETCH_SAMPLES = ((256, 96), (64, 41))
 SKETCH_DEVIATIONS = 6
-#: Centers per bucket in the second round (the first has one); twice as many in
-#: each round after it, so that the number of rounds is logarithmic.
-CENTERS = 8
-#: Bands that are bucketed at a time; components merge in between.
-WAVES = (4, BANDS - 4)
+#: Centers per bucket in the second round (the first has one), and so many times
+#: more in each round after it: a bucket of a million unlike members takes six rounds.
+CENTERS = 16
+#: Bands that are bucketed at a time, and the rounds each wave takes (None: until
+#: its buckets hold one component each); what is left joins the next wave's buckets.
+WAVES = ((4, 2), (BANDS - 4, None))
 #: Pairs of sets per Arrow batch: a set has 8 bytes a word.
 PAIR_ROWS = 256
 
@@ -235,25 +237,26 @@ def _may_reach(percent: int, na: Column, nb: Column) -> Column:
     return out
 
 
-def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int) -> DataFrame:
-    """(node, component) of all nodes with a link, from those so far.
+def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int,
+            rounds: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(node, component) of all nodes with a link, from those so far, and the
+    buckets that are not done after so many rounds (None: all are done).
     ``buckets``: (key, node, n, sketch), staged; ``sets_of(nodes)`` gives the
     shingle sets of at least these nodes."""
     spark = buckets.sparkSession
     sets, round_ = None, 0
-    while True:
+    while rounds is None or round_ < rounds:
         labelled = buckets.join(comps, "node", "left").select(
             "key", "node", "n", *_SKETCH, F.coalesce("component", "node").alias("c"))
-        dealt = labelled.repartition("key")
-        wide = dealt.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-        still = staged(dealt.join(wide, "key"), "buckets")
+        wide = labelled.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+        still = staged(labelled.join(wide, "key"), "buckets")  # a plain join: a large bucket may be split
         drop_staged(buckets)
         if still.isEmpty():
             drop_staged(still)
-            return comps
+            return comps, None
         sets = sets or sets_of(still.select("node").distinct())
         # the smallest node of each of so many parts of a bucket
-        parts = 1 if round_ == 0 else CENTERS << (round_ - 1)
+        parts = CENTERS ** round_
         part = F.pmod(F.xxhash64("node"), F.lit(parts))
         centers = still.groupBy("key", part.alias("part")).agg(F.min("node").alias("node")).drop("part")
         chosen = staged(still.join(centers, ["key", "node"]), "centers")
@@ -287,6 +290,7 @@ def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int) -> Data
         buckets = staged(still.join(centers, ["key", "node"], "left_anti").select("key", "node", "n", *_SKETCH), "buckets")
         drop_staged(still)
         round_ += 1
+    return comps, buckets
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
@@ -320,11 +324,15 @@ def _named(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: s
         return reduce(DataFrame.unionByName, kept)
 
     comps = slim.sparkSession.createDataFrame([], "node binary, component binary")
-    start = 1
-    for size in WAVES:
-        keys = nodes.select(F.explode(F.slice("bands", start, size)).alias("key"), "node").repartition("key")
+    start, rest = 1, None
+    for size, rounds in WAVES:
+        keys = nodes.select(F.explode(F.slice("bands", start, size)).alias("key"), "node")
         shared = keys.groupBy("key").agg(F.count("node").alias("m")).where("m > 1").select("key")
-        comps = _linked(staged(keys.join(shared, "key").join(known, "node"), "members"), comps, sets_of, percent)
+        members = keys.join(shared, "key").join(known, "node")
+        buckets = staged(members.unionByName(rest) if rest is not None else members, "members")
+        if rest is not None:
+            drop_staged(rest)
+        comps, rest = _linked(buckets, comps, sets_of, percent, rounds)
         start += size
     for had in kept:
         drop_staged(had)
