@@ -76,5 +76,5 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in entry.queries() and [n for n, _ in pipeline.STAGES][0] == "quality"
