@@ -17,10 +17,11 @@ The bands come in two waves, 4 and the rest: most of a group of near copies is o
 component after the first and makes hardly any pair in the many bands after it.
 The first wave ends after two rounds; its unfinished buckets go on in the second.
 
-Most other pairs of a bucket share a passage and little else. A sketch of four
-bits from each of 128 bins travels with the members, and pairs whose sketches
-agree less than any pair at the threshold would, by six standard deviations,
-are not compared on full sets; sets under 64 shingles are always compared.
+Most other pairs of a bucket share a passage and little else. A sketch of 512
+parities travels with the members: how many of the set's hashes fall into each
+range, odd or even. Sketches that differ in d places belong to sets that differ in
+at least d shingles, so a pair whose sketches differ in more places than the
+threshold allows shingles is no link, and full sets are compared for the rest only.
 """
 
 from __future__ import annotations
@@ -52,10 +53,7 @@ SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 80, 8
 BINS = BANDS * ROWS
-SKETCH_BINS = 128
-#: (least set size, independent bins that so many elements give at least).
-SKETCH_SAMPLES = ((256, 96), (64, 41))
-SKETCH_DEVIATIONS = 6
+SKETCH_BITS = 512
 #: Centers per bucket in the second round (the first has one), and so many times
 #: more in each round after it: a bucket of a million unlike members takes six rounds.
 CENTERS = 16
@@ -98,6 +96,14 @@ def _borrow_order() -> np.ndarray:
     return np.stack([rng.permutation(BINS) for _ in range(BINS)])
 
 
+def parities(owner: np.ndarray, value: np.ndarray, n_texts: int) -> np.ndarray:
+    """(texts x 8) sketches: bit i is the parity of the number of a set's hashes
+    in the i-th of ``SKETCH_BITS`` ranges."""
+    place = owner * SKETCH_BITS + (value >> np.uint64(32)).astype(np.int64) * SKETCH_BITS // (1 << 32)
+    odd = np.bincount(place, minlength=n_texts * SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n_texts, SKETCH_BITS), axis=1).view(np.uint64)
+
+
 def band_keys(owner: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
     """(texts x bands) bucket keys and (texts x 8) sketches of sorted sets; rows
     of empty sets are void."""
@@ -120,9 +126,7 @@ def band_keys(owner: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.nd
     with np.errstate(over="ignore"):
         for r in range(ROWS):
             acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + signature[:, r::ROWS])
-    bits = (mix(signature[:, ::BINS // SKETCH_BINS]) & np.uint64(15)).astype(np.uint8)
-    sketch = np.ascontiguousarray(bits[:, 0::2] | bits[:, 1::2] << 4).view(np.uint64)
-    return acc, sketch
+    return acc, parities(owner, value, n_texts)
 
 
 def _signatures_of(k: int):
@@ -218,23 +222,14 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-_SKETCH = [f"s{i}" for i in range(SKETCH_BINS // 16)]
+_SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
 def _may_reach(percent: int, na: Column, nb: Column) -> Column:
-    """Whether the sketches (s0.. and b_s0..) allow the similarity."""
-    apart = F.lit(0)
-    for c in _SKETCH:
-        x = F.col(c).bitwiseXOR(F.col(f"b_{c}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))  # the lowest bit of each four tells whether they differ
-        apart += F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    agree = percent / 100 + (1 - percent / 100) / 16
-    out = F.lit(True)
-    for least, samples in reversed(SKETCH_SAMPLES):
-        bound = agree - SKETCH_DEVIATIONS * (agree * (1 - agree) / samples) ** 0.5
-        out = F.when(F.least(na, nb) >= least, apart <= (1 - bound) * SKETCH_BINS).otherwise(out)
-    return out
+    """Whether the sketches (s0.. and b_s0..) allow the similarity: sets that
+    reach it differ in at most (na + nb) (1 - p) / (1 + p) elements."""
+    apart = reduce(Column.__add__, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"b_{c}"))) for c in _SKETCH))
+    return apart * (100 + percent) <= (na + nb) * (100 - percent)
 
 
 def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int,

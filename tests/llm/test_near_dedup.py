@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import LONG, ODD, frame, lower, sentences, words_of
 from shelfwise.llm import near_dedup as nd
@@ -96,22 +97,29 @@ def test_components_of_paths_stars_and_pairs(spark):
     assert {r.node: r.component for r in out.collect()} == want
 
 
-@pytest.mark.parametrize("size", [64, 100, 255, 256, 1000, 5000])
-def test_sketches_never_rule_out_a_link(size):
+@pytest.mark.parametrize("size", [1, 3, 64, 256, 1000, 5000])
+def test_sketches_never_rule_out_a_link(spark, size):
+    """Sketches differ in no more places than sets do in elements, so pairs at
+    the very threshold pass; unlike sets of usual sizes do not."""
     rng = np.random.default_rng(size)
-    agree = []
-    for _ in range(300):
-        both = np.sort(rng.integers(0, 2**64, size * 9 // 10 + 1, dtype=np.uint64))
-        own = [rng.integers(0, 2**64, max(1, len(both) // 8), dtype=np.uint64) for _ in range(2)]
+    rows = []
+    for _ in range(60):
+        both = rng.integers(0, 2**64, size, dtype=np.uint64)
+        own = [rng.integers(0, 2**64, n, dtype=np.uint64) for n in (size // 8, size // 4 - size // 8)]
         sets = [np.sort(np.concatenate([both, x])) for x in own]
         _, sketch = nd.band_keys(np.repeat([0, 1], [len(s) for s in sets]), np.concatenate(sets), 2)
-        a, b = sketch.view(np.uint8)
-        agree.append((((a ^ b) & 15 == 0).sum() + ((a ^ b) >> 4 == 0).sum()) / nd.SKETCH_BINS)
-    samples = next(n for least, n in nd.SKETCH_SAMPLES if size >= least)
-    expected = 0.8 + 0.2 / 16
-    deviation = (expected * (1 - expected) / samples) ** 0.5
-    assert np.mean(agree) > expected - 0.02 and np.std(agree) < 1.15 * deviation
-    assert min(agree) > expected - nd.SKETCH_DEVIATIONS * deviation
+        x, y = sketch.view(np.int64).tolist()
+        assert np.unpackbits((sketch[0] ^ sketch[1]).view(np.uint8)).sum() <= len(np.setxor1d(*sets))
+        assert 100 * size >= 80 * len(np.union1d(*sets))
+        rows.append((len(sets[0]), len(sets[1]), *x, *y))
+    names = ["na", "nb", *nd._SKETCH, *[f"b_{c}" for c in nd._SKETCH]]
+    may = nd._may_reach(80, F.col("na"), F.col("nb"))
+    table = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names))
+    assert table.where(may).count() == len(rows)
+    if 64 <= size <= 256:
+        half = F.lit(0x5A5A5A5A5A5A5A5A)  # every other parity differs, as between unrelated sets
+        unlike = table.withColumns({f"b_{c}": F.col(c).bitwiseXOR(half) for c in nd._SKETCH})
+        assert unlike.where(may).count() == 0
 
 
 def test_stage_keeps_one_row_where_rows_and_ids_repeat(spark):
