@@ -62,6 +62,9 @@ CENTERS = 16
 WAVES = ((4, 2), (BANDS - 4, None))
 #: Pairs of sets per Arrow batch: a set has 8 bytes a word.
 PAIR_ROWS = 256
+#: Edges, or nodes with their components, that are read as one partition (8 MB at
+#: 32 bytes a row): Spark then joins and groups them without a shuffle.
+FEW_ROWS = 250_000
 
 
 # -- sets and signatures, inside tasks ----------------------------------------
@@ -195,23 +198,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _packed(df: DataFrame, few: int) -> DataFrame:
+    """A staged table of at most ``few`` rows as one partition, others as they are."""
+    return df.coalesce(1) if few and df.count() <= few else df
+
+
+def components(edges: DataFrame, few: int = 0) -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node it
     can reach. Alternating large and small stars until the edges stay as they
     are; every step is an aggregation and a join, so hubs are no group of their
-    own."""
+    own. At most ``few`` edges are kept in one partition."""
     mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
     current = staged(edges.where("a <> b").select("a", "b"), "edges")
     seen = None
     while True:
-        before, current = current, staged(_small_star(_large_star(current)), "edges")
+        before, current = current, staged(_small_star(_large_star(_packed(current, few))), "edges")
         drop_staged(before)
         now = mark(current)
         if now == seen or not now[0]:
             break
         seen = now
-    stars = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    out = stars.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    last = _packed(current, few)
+    stars = last.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    out = stars.unionByName(last.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
     out._staged_path = current._staged_path
     return out
 
@@ -268,13 +277,13 @@ def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int,
         drop_staged(chosen)
         if not found.isEmpty():
             # edges between the components so far, then their nodes follow
-            links = found
-            name = lambda side: (links.join(comps.withColumnRenamed("node", side), side, "left")
+            links, known = _packed(found, FEW_ROWS), _packed(comps, FEW_ROWS)
+            name = lambda side: (links.join(known.withColumnRenamed("node", side), side, "left")
                                  .withColumn(side, F.coalesce("component", side)).drop("component"))
             links = name("a")
             links = name("b")
-            merged = components(links)
-            old = comps.unionByName(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(
+            merged = components(links, FEW_ROWS)
+            old = known.unionByName(merged.select("node", F.col("node").alias("component"))).groupBy("node").agg(
                 F.min("component").alias("component"))
             before, comps = comps, staged(
                 old.join(merged.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
