@@ -55,8 +55,8 @@ BANDS, ROWS = 80, 8
 BINS = BANDS * ROWS
 SKETCH_BITS = 512
 #: Centers per bucket in the second round (the first has one), and so many times
-#: more in each round after it: a bucket of a million unlike members takes six rounds.
-CENTERS = 16
+#: more in each round after it: a bucket of a million unlike members takes five rounds.
+CENTERS = 64
 #: Bands that are bucketed at a time, and the rounds each wave takes (None: until
 #: its buckets hold one component each); what is left joins the next wave's buckets.
 WAVES = ((4, 2), (BANDS - 4, None))
