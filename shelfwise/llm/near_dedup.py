@@ -191,16 +191,20 @@ def _large_star(edges: DataFrame) -> DataFrame:
             .where("a <> b").distinct())
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, one: bool = False) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     low = down.groupBy("a").agg(F.min("b").alias("m"))
     moved = down.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-    return moved.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+    return _in_one(moved.unionByName(low.select("a", F.col("m").alias("b"))), one).distinct()
+
+
+def _in_one(df: DataFrame, one: bool) -> DataFrame:
+    return df.coalesce(1) if one else df
 
 
 def _packed(df: DataFrame, few: int) -> DataFrame:
     """A staged table of at most ``few`` rows as one partition, others as they are."""
-    return df.coalesce(1) if few and df.count() <= few else df
+    return _in_one(df, bool(few) and df.count() <= few)
 
 
 def components(edges: DataFrame, few: int = 0) -> DataFrame:
@@ -212,7 +216,10 @@ def components(edges: DataFrame, few: int = 0) -> DataFrame:
     current = staged(edges.where("a <> b").select("a", "b"), "edges")
     seen = None
     while True:
-        before, current = current, staged(_small_star(_large_star(_packed(current, few))), "edges")
+        one = bool(few) and current.count() <= few
+        # Spark loses sight of the one partition behind a join or union: it is told again
+        large = _in_one(_large_star(_in_one(current, one)), one)
+        before, current = current, staged(_small_star(large, one), "edges")
         drop_staged(before)
         now = mark(current)
         if now == seen or not now[0]:
