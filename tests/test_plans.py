@@ -74,3 +74,20 @@ def test_scorer_shuffles_each_side_once(spark, users_per_bucket):
     assert below.count("Exchange ") == 2
     if users_per_bucket == 50:  # several groups: hash-placed by (bucket, block)
         assert below.count("Exchange hashpartitioning") == 2
+
+
+def test_stored_frames_are_compressed(spark):
+    import os
+    from urllib.parse import urlparse
+
+    from shelfwise.plans.pipelines import stored
+
+    rows = spark.range(20_000).selectExpr(
+        "concat('user_', id % 500) user_id", "concat('item_', id % 700) item_id", "id % 5 rating",
+        "if(id = 3, null, id) `timestamp`", "cast('2020-01-01' as timestamp_ntz) ts")
+    kept = stored(rows)
+    assert kept.schema == rows.schema and kept.exceptAll(rows).count() == 0 == rows.exceptAll(kept).count()
+    files = [urlparse(f).path for f in kept.inputFiles()]
+    assert files and sum(map(os.path.getsize, files)) < 20 * 20_000  # a checkpoint has 100 bytes a row
+    empty = stored(rows.limit(0))
+    assert empty.count() == 0 and empty.columns == rows.columns
