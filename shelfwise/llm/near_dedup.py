@@ -270,8 +270,10 @@ def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int,
         parts = CENTERS ** round_
         part = F.pmod(F.xxhash64("node"), F.lit(parts))
         centers = still.groupBy("key", part.alias("part")).agg(F.min("node").alias("node")).drop("part")
-        chosen = staged(still.join(centers, ["key", "node"]), "centers")
-        pairs = (still.join(chosen.select("key", F.col("node").alias("b"), F.col("n").alias("nb"),
+        marked = staged(still.join(centers.withColumn("center", F.lit(True)), ["key", "node"], "left"), "marked")
+        drop_staged(still)
+        chosen = marked.where("center")
+        pairs = (marked.drop("center").join(chosen.select("key", F.col("node").alias("b"), F.col("n").alias("nb"),
                                           F.col("c").alias("cb"), *[F.col(c).alias(f"b_{c}") for c in _SKETCH]), "key")
                  .where((F.col("c") != F.col("cb")) & _fits(F.col("n"), F.col("nb"), percent)
                         & _may_reach(percent, F.col("n"), F.col("nb")))
@@ -281,7 +283,6 @@ def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int,
                  .select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a binary, b binary"))
         with arrow_rows(spark, PAIR_ROWS):
             found = staged(found, "links")
-        drop_staged(chosen)
         if not found.isEmpty():
             # edges between the components so far, then their nodes follow
             links, known = _packed(found, FEW_ROWS), _packed(comps, FEW_ROWS)
@@ -298,8 +299,8 @@ def _linked(buckets: DataFrame, comps: DataFrame, sets_of, percent: int,
             drop_staged(before)
             drop_staged(merged)
         drop_staged(found)
-        buckets = staged(still.join(centers, ["key", "node"], "left_anti").select("key", "node", "n", *_SKETCH), "buckets")
-        drop_staged(still)
+        buckets = staged(marked.where("center is null").select("key", "node", "n", *_SKETCH), "buckets")
+        drop_staged(marked)
         round_ += 1
     return comps, buckets
 
