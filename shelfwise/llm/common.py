@@ -87,13 +87,14 @@ def binary_values(column: pa.Array) -> list[bytes]:
 
 
 def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
-                limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+                limit: int = SLICE_BYTES, row_bytes: int = 0) -> Iterator[pa.RecordBatch]:
     """Cut record batches into runs of rows of about ``limit`` text bytes (a
-    longer text is a slice of its own), so memory does not follow row counts."""
+    longer text is a slice of its own), so memory does not follow row counts.
+    A row counts ``row_bytes`` besides its text, for what is made of each row."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False) + row_bytes
         group = np.cumsum(sizes, dtype=np.int64) // limit
         edges = np.flatnonzero(np.diff(group)) + 1
         for lo, hi in zip([0, *edges], [*edges, batch.num_rows]):
@@ -111,7 +112,7 @@ class BoundedCache(dict):
 
 
 class _WordHashes(BoundedCache):
-    entries = 200_000  # the frequent words; a hash costs little
+    entries = 50_000  # the frequent words; a hash costs little
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh64_intdigest(word)

@@ -60,8 +60,11 @@ CENTERS = 64
 #: Bands that are bucketed at a time, and the rounds each wave takes (None: until
 #: its buckets hold one component each); what is left joins the next wave's buckets.
 WAVES = ((4, 2), (BANDS - 4, None))
-#: Pairs of sets per Arrow batch: a set has 8 bytes a word.
-PAIR_ROWS = 256
+#: Text bytes per slice, and what a row counts besides its text: the bins of its
+#: signature and their indexes take some 20 kB, so a slice has at most 256 rows.
+SLICE_BYTES, ROW_BYTES = 1 << 20, 1 << 12
+#: Texts per Arrow batch, and pairs of sets, at 8 bytes a word a set.
+TEXT_ROWS, PAIR_ROWS = 1_000, 256
 #: Edges, or nodes with their components, that are read as one partition (8 MB at
 #: 32 bytes a row): Spark then joins and groups them without a shuffle.
 FEW_ROWS = 250_000
@@ -134,7 +137,7 @@ def band_keys(owner: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.nd
 
 def _signatures_of(k: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in byte_slices(batches):
+        for part in byte_slices(batches, "text", SLICE_BYTES, ROW_BYTES):
             owner, value = shingle_sets(binary_values(part.column("text")), k)
             sizes = np.bincount(owner, minlength=part.num_rows)
             edges = np.concatenate([[0], np.cumsum(sizes)])
@@ -154,7 +157,7 @@ def _signatures_of(k: int):
 
 def _sets_of(k: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in byte_slices(batches):
+        for part in byte_slices(batches, "text", SLICE_BYTES, ROW_BYTES):
             owner, value = shingle_sets(binary_values(part.column("text")), k)
             edges = np.searchsorted(owner, np.arange(part.num_rows + 1))
             sets = [value[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
@@ -314,9 +317,11 @@ def _named(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: s
     slim = docs.select(*id_and_text(docs, id_col, text_col))
     kind = slim.schema["id"].dataType.simpleString()
     key = [_row_key(id_col, text_col).alias("row_key")] if keyed else []
-    signed = staged(docs.select(*id_and_text(docs, id_col, text_col), *key).mapInArrow(
+    signed = docs.select(*id_and_text(docs, id_col, text_col), *key).mapInArrow(
         _signatures_of(shingle), f"id {kind}, n_shingles long, node binary, bands array<long>, sketch array<long>"
-        + ", row_key long" * keyed), "signatures")
+        + ", row_key long" * keyed)
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        signed = staged(signed, "signatures")
     usable = signed.where("id is not null and node is not null")
     nodes = staged(usable.groupBy("node").agg(F.min(F.struct("id", "n_shingles", "bands", "sketch")).alias("first"))
                    .select("node", "first.*"), "nodes")
@@ -328,10 +333,11 @@ def _named(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: s
         for had in kept:
             wanted = wanted.join(had.select("node"), "node", "left_anti")
         wanted = staged(nodes.join(wanted, "node", "left_semi").select("node", "id"), "wanted")
-        kept.append(staged(
-            slim.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
-            .mapInArrow(_sets_of(shingle), "node binary, shingles binary")
-            .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets"))
+        with arrow_rows(docs.sparkSession, TEXT_ROWS):
+            kept.append(staged(
+                slim.join(wanted.select("id").distinct(), "id", "left_semi").select("text")
+                .mapInArrow(_sets_of(shingle), "node binary, shingles binary")
+                .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets"))
         drop_staged(wanted)
         return reduce(DataFrame.unionByName, kept)
 

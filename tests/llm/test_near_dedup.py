@@ -130,3 +130,22 @@ def test_stage_keeps_one_row_where_rows_and_ids_repeat(spark):
     assert len([r for r in out if r.doc_id == 7]) == 1
     assert sorted(((r.doc_id, r.text) for r in out if r.doc_id != 7), key=repr) == sorted(
         [(1, a), (2, b), (5, None), (None, a), (None, a)], key=repr)
+
+
+def test_many_short_texts_in_a_batch_take_little_memory():
+    """4,000 signatures at once took over 150 MB; a slice has at most 256 rows."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [f"a b c d e f {i}" for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array(texts)], ["id", "text"])
+    list(nd._signatures_of(5)([batch.slice(0, 10)]))  # the order of borrowing is made once
+    tracemalloc.start()
+    try:
+        rows = sum(part.num_rows for part in nd._signatures_of(5)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 4000
+    assert peak < 48 << 20
