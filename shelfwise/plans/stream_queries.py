@@ -30,14 +30,14 @@ SLICES = 4
 
 def _landed(spark: SparkSession, df: DataFrame, name: str, by, late: DataFrame | None = None,
             slices: int = SLICES) -> tuple[str, str, int]:
-    """Write ``df`` to a landing folder in ``slices`` steps of ascending ``by``
-    (a number), the ``late`` rows with the last; returns (landing path, run
+    """Write ``df``, read several times, to a landing folder in ``slices`` steps of ascending
+    ``by`` (a number), the ``late`` rows with the last; returns (landing path, run
     folder, files per step). Each step is a job of its own, so file times
     ascend; a step has as many files as there are shuffle partitions."""
     run = ingest.run_dir(spark, name)
     landing = os.path.join(run, "landing")
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = stored(df.withColumn("_by", by))
+    rows = df.withColumn("_by", by)
     cuts = rows.approxQuantile("_by", [i / slices for i in range(1, slices)], 0.01)
     for low, high in zip([None, *cuts], [*cuts, None]):
         keep = F.lit(True)
@@ -63,7 +63,7 @@ def stream_dedupe(spark, sf_dir):
     over several batches; one row per key survives (highest rating), copies
     combined map-side. The last batch brings rows of the first days with a
     rating that would win: the watermark drops them."""
-    raw = tables.raw_form(tables.dirty(spark, sf_dir))
+    raw = stored(tables.raw_form(tables.dirty(spark, sf_dir)))  # one pass over the tables
     early = raw.where(F.col("timestamp") <= raw.agg(F.min("timestamp") + 30 * 86400).scalar())
     late = early.withColumn("rating", F.lit(99).cast("bigint"))
     landing, run, files = _landed(spark, raw, "dedupe", F.col("timestamp"), late)
@@ -88,7 +88,7 @@ def stream_activity(spark, sf_dir):
     """K5 streaming: one-day tumbling windows with a watermark, update mode,
     final value per window; rows of the first month that come again in the
     last batch are too late to count."""
-    raw = tables.raw_interactions(spark, sf_dir)
+    raw = stored(tables.raw_interactions(spark, sf_dir))
     late = raw.where(F.col("timestamp") <= raw.agg(F.min("timestamp") + 30 * 86400).scalar())
     landing, run, files = _landed(spark, raw, "activity", F.col("timestamp"), late)
     stream = ingest.with_event_time(ingest.interaction_stream(
@@ -112,7 +112,7 @@ def _refreshed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     parts = indexed_parts(spark, sf_dir)
     model = als.fit(parts["train"])
     uf, itf = als.factors(model)
-    landing, run, files = _landed(spark, parts["test"], "refresh", F.col("timestamp"))
+    landing, run, files = _landed(spark, stored(parts["test"]), "refresh", F.col("timestamp"))
     stream = spark.readStream.schema(spark.read.parquet(landing).schema).option(
         "maxFilesPerTrigger", files
     ).parquet(landing)
@@ -147,7 +147,7 @@ def _folded(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     new = split_hash(USER) < F.lit(S.share(0.2))
     known = stored(parts["train"].where(~new))
     uf, itf = als.factors(als.fit(known))
-    landing, run, files = _landed(spark, parts["test"], "fold-in", F.col("timestamp"))
+    landing, run, files = _landed(spark, stored(parts["test"]), "fold-in", F.col("timestamp"))
     stream = spark.readStream.schema(spark.read.parquet(landing).schema).option("maxFilesPerTrigger", files).parquet(landing)
     out = os.path.join(run, "recs")
     q = ingest.refresh_topk(stream, uf, itf, K, known.select(USER, ITEM), out, os.path.join(run, "checkpoint"),

@@ -214,3 +214,21 @@ def test_partitioned_sink_writes_few_files_per_directory(spark, scratch):
     per_dir = [len(glob.glob(os.path.join(d, "*.parquet"))) for d in dirs]
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert sum(per_dir) <= tasks + len(dirs)
+
+
+@pytest.mark.parametrize("name", ["stream_dedupe", "stream_activity"])
+def test_landed_rows_and_late_rows_come_from_one_pass(spark, monkeypatch, name):
+    """The tables were joined again for the least time and for the late rows."""
+    from shelfwise.plans import stream_queries
+
+    class Landed(Exception):
+        pass
+
+    def landed(spark, df, name, by, late=None, slices=4):
+        raise Landed(df, late)
+
+    monkeypatch.setattr(stream_queries, "_landed", landed)
+    with pytest.raises(Landed) as found:
+        getattr(stream_queries, name)(spark, "/root/testdata/sf0.001")
+    for df in found.value.args:
+        assert not any("lineitem" in f for f in df.inputFiles())
