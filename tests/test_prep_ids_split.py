@@ -154,3 +154,20 @@ def test_dense_index_keeps_the_callers_cache(spark):
     assert ids.dense_index(df, ["x"]).where("x <> idx").count() == 0
     assert df.storageLevel.useMemory
     df.unpersist()
+
+
+def test_encode_does_not_sort_the_interactions(spark):
+    """Both lookups sorted all rows by their string ids, which spills at size."""
+    rows = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("b", None, 3), (None, "x", 4), ("c", "x", 5)],
+                                 "user_id string, item_id string, rating int")
+    d = spark.createDataFrame([("a", 0), ("b", 1), ("x", 2), ("y", 3)], "key string, idx int")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        out = ids.index_interactions(rows, d, d)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin") == 2 and "Sort" not in plan.replace("SortMerge", "Sort")
+        assert sorted(map(tuple, out.collect())) == [(0, 2, 1), (1, 3, 2)]
+    finally:
+        spark.conf.set(key, before)
