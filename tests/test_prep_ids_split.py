@@ -156,11 +156,12 @@ def test_dense_index_keeps_the_callers_cache(spark):
     df.unpersist()
 
 
-def test_encode_does_not_sort_the_interactions(spark):
+def test_encode_does_not_sort_the_interactions(spark, monkeypatch):
     """Both lookups sorted all rows by their string ids, which spills at size."""
     rows = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("b", None, 3), (None, "x", 4), ("c", "x", 5)],
                                  "user_id string, item_id string, rating int")
     d = spark.createDataFrame([("a", 0), ("b", 1), ("x", 2), ("y", 3)], "key string, idx int")
+    monkeypatch.setattr(ids, "BROADCAST_KEYS", 0, raising=False)
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, "-1")
