@@ -128,6 +128,40 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_word_hashes.__getitem__, words), np.uint64, len(words))
 
 
+def encoded_words(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of texts whose words are joined by one space: their number in each
+    text, each word's code, and by code the 64-bit hash of the distinct words.
+    Arrow splits and encodes, so Python sees a distinct word once."""
+    sizes = np.zeros(len(lines), np.int64)
+    some = np.asarray([len(line) > 0 for line in lines], bool)
+    if not some.any():
+        return sizes, np.empty(0, np.int64), np.empty(0, np.uint64)
+    split = pc.split_pattern(pa.array([line for line in lines if line], pa.binary()), pattern=" ")
+    sizes[some] = pc.list_value_length(split).to_numpy()
+    words = split.flatten().dictionary_encode()
+    distinct = words.dictionary.to_numpy(zero_copy_only=False)
+    return sizes, words.indices.to_numpy(), np.fromiter(
+        map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+
+
+def distinct_index(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique(values, return_inverse=True)`` of 64-bit hashes in less
+    time: sorts the leading bits of a hash with its position behind them, and the
+    hashes themselves only if those bits leave some of them out of order."""
+    bits = np.uint64(max(len(values) - 1, 1).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    order = (np.sort(values & ~low | np.arange(len(values), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = values[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        return np.unique(values, return_inverse=True)
+    starts = run_starts(ordered)
+    new = np.zeros(len(values), np.int64)
+    new[starts[1:]] = 1
+    index = np.empty(len(values), np.int64)
+    index[order] = np.cumsum(new)
+    return ordered[starts], index
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (a bijection with good avalanche)."""
     with np.errstate(over="ignore"):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import ensure_checkpoint_dir
 
-from .common import binary_values, byte_slices, id_and_text, id_fold, mix, staged, word_hashes
+from .common import binary_values, byte_slices, distinct_index, encoded_words, id_and_text, id_fold, mix, staged
 
 BLOCK_BYTES = 8 << 20
 #: n-gram requests a range of hashes gets, about.
@@ -62,20 +62,15 @@ class _Block:
 
     def __init__(self, payload: bytes, held_out: list[bool], order: int):
         docs = zstandard.ZstdDecompressor().decompress(payload).split(b"\n")
-        words: list[bytes] = []
-        sizes = np.zeros(len(docs), np.int64)
-        for i, doc in enumerate(docs):
-            if doc:
-                own = doc.split(b" ")
-                words += own
-                sizes[i] = len(own)
+        sizes, code, distinct = encoded_words(docs)
         self.ends = np.cumsum(sizes + 1) - 1
         self.starts = self.ends - sizes
-        tokens = np.empty(len(words) + len(docs), np.uint64)
-        is_word = np.ones(len(tokens), bool)
+        is_word = np.ones(len(code) + len(docs), bool)
         is_word[self.ends] = False
-        tokens[is_word] = word_hashes(words)
-        tokens[self.ends] = _END
+        keys, at = np.unique(np.append(distinct, _END), return_inverse=True)
+        index = np.full(len(is_word), at[-1])
+        index[is_word] = at[:-1][code]
+        tokens = keys[index]
         self.n_tokens = sizes + 1
         trained = np.repeat(~np.asarray(held_out, bool), self.n_tokens)
         self.keys, self.index, self.counts = [], [], []
@@ -87,10 +82,10 @@ class _Block:
                 shorter[self.starts] = _BEGIN
                 with np.errstate(over="ignore"):
                     gram = mix(shorter * _MULT + tokens + np.uint64(k))
-            keys, index = np.unique(gram, return_inverse=True)
+                keys, index = distinct_index(gram)
             self.keys.append(keys)
-            self.index.append(index.reshape(-1))
-            self.counts.append(np.bincount(self.index[-1], weights=trained, minlength=len(keys)).astype(np.int64))
+            self.index.append(index)
+            self.counts.append(np.bincount(index, weights=trained, minlength=len(keys)).astype(np.int64))
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -140,10 +135,10 @@ def _answer(table: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
             keys = [np.cumsum(_unplanes(x), dtype=np.uint64) for x in part.column("keys").to_pylist()]
         counts = np.concatenate([_unplanes(x) for x in part.column("counts").to_pylist()])
-        distinct, index = np.unique(np.concatenate(keys), return_inverse=True)
+        distinct, index = distinct_index(np.concatenate(keys))
         total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, index.reshape(-1), counts.astype(np.int64))
-        answers = np.split(total[index.reshape(-1)], np.cumsum([len(x) for x in keys])[:-1])
+        np.add.at(total, index, counts.astype(np.int64))
+        answers = np.split(total[index], np.cumsum([len(x) for x in keys])[:-1])
         for block, answer in zip(part.column("block").to_pylist(), answers):
             for column, v in zip(out, (block, k, table.column("range")[0].as_py(), _planes(answer))):
                 column.append(v)

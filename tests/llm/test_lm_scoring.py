@@ -1,12 +1,15 @@
 """Operator 4 against a direct computation of the same model."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 
 from helpers import LONG, ODD, fold, frame, lower, sentences, words_of
+from shelfwise.llm import common
 from shelfwise.llm import lm_scoring as lm
 
 END, BEGIN = object(), object()
@@ -104,3 +107,26 @@ def test_messages_round_trip():
     for values in ([], [0], [1, 2**63, 2**64 - 1, 5]):
         a = np.asarray(values, np.uint64)
         assert (lm._unplanes(lm._planes(a)) == a).all()
+
+
+def test_a_block_keeps_no_object_per_word():
+    words = 400_000
+    text = b" ".join(b"word%d" % (i % 1000) for i in range(words))
+    payload = zstandard.ZstdCompressor().compress(b"\n".join([text, b"", b"word1 \xff"]))
+    lm._Block(payload, [False] * 3, 1)
+    tracemalloc.start()
+    block = lm._Block(payload, [False, True, False], 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert block.n_tokens.tolist() == [words + 1, 1, 3]
+    assert sorted(block.counts[0].tolist())[-2:] == [400, 401] and sorted(block.counts[0].tolist())[:2] == [1, 2]
+    assert peak < 60 * words
+
+
+def test_distinct_index_equals_unique():
+    rng = np.random.default_rng(0)
+    far = rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2)
+    near = np.asarray([7, 5, 2**64 - 1, 5 << 40, 5, 6, 4], np.uint64)  # the same leading bits
+    for values in (far, far[rng.integers(0, 500, 5000)], near, near[:1], near[:0], np.concatenate([far, near])):
+        got, want = common.distinct_index(values), np.unique(values, return_inverse=True)
+        assert (got[0].tolist(), got[1].tolist()) == (want[0].tolist(), want[1].tolist())
