@@ -5,6 +5,7 @@ from shelfwise.functions.columns import (
     ntz_to_instant,
     ratio_or_zero,
     run_stamp,
+    split_digest,
     split_hash,
     ts_to_epoch,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "ntz_to_instant",
     "ratio_or_zero",
     "run_stamp",
+    "split_digest",
     "split_hash",
     "ts_to_epoch",
 ]

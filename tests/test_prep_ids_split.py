@@ -121,6 +121,43 @@ def test_split_refuses_weights_below_its_resolution():
         split.thresholds((1.0, 1e-12))
 
 
+def test_kept_parts_are_hashed_once(spark):
+    import hashlib
+
+    from shelfwise.plans.pipelines import stored
+
+    pairs = [(u, i, 1) for u in [None, *range(30)] for i in [None, *range(20)]] * 2  # every row twice
+    df = spark.createDataFrame(pairs, "user_id int, item_id int, rating int").repartition(3)
+    number = lambda u, i: int(hashlib.md5(
+        ",".join(str(v) for v in (u, i) if v is not None).encode()).hexdigest()[:8], 16)
+    rows = lambda d: sorted(map(repr, (tuple(r) for r in d.collect())))
+    for weights in ((0.8, 0.2), (0.5, 0.5), (1.0, 0.0), (0.0, 1.0)):
+        cut = split.thresholds(weights)[0]
+        for keep in (None, stored):
+            parts = split.hash_split(df, weights, keep=keep)
+            assert rows(parts["train"]) == sorted(repr(r) for r in pairs if number(*r[:2]) < cut)
+            assert rows(parts["test"]) == sorted(repr(r) for r in pairs if number(*r[:2]) >= cut)
+    for part in split.train_test_split(df, keep=stored).values():
+        assert part.columns == df.columns
+        assert "md5" not in part._jdf.queryExecution().toString()
+
+
+def test_als_queries_store_their_columns_and_parts_once(spark, monkeypatch):
+    from shelfwise.plans import model_queries
+
+    kept = []
+    monkeypatch.setattr(model_queries, "stored", lambda df: kept.append(df) or df)
+    rows = [(u, i, (u + i) % 5 + 1, 7) for u in range(12) for i in range(8)]
+    raw = spark.createDataFrame(rows, "user_id int, item_id int, rating bigint, timestamp bigint").select(
+        F.concat(F.lit("user_"), "user_id").alias("user_id"), F.concat(F.lit("item_"), "item_id").alias("item_id"),
+        "rating", "timestamp")
+    monkeypatch.setattr(model_queries.tables, "raw_interactions", lambda *_: raw)
+    _, parts = model_queries.fitted(spark, "unused", rank=2)
+    assert [df.columns for df in kept] == [["user_id", "item_id", "rating"], ["user_id", "item_id", "rating", "part"]]
+    assert sum(p.count() for p in parts.values()) == len(rows)
+    assert model_queries.indexed_parts(spark, "unused")["test"].columns == raw.columns
+
+
 def test_best_row_equals_a_sorted_choice(spark):
     import datetime as dt
     import random
