@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from shelfwise.functions.columns import epoch_to_ts
 from shelfwise.operators import least_squares, scoring
 from shelfwise.schema import ITEM, RATING, USER
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.session import ensure_checkpoint_dir, release_unused
 from shelfwise.sources.sinks import user_bucket, write_table
 from shelfwise.streaming.monitor import tumbling_activity
 
@@ -127,6 +127,9 @@ def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataF
 
     Exclusions are reduced to distinct pairs once and stored by user bucket
     (A5), so that a batch reads its users' buckets and not the whole history.
+    A known user's list follows from factors and exclusions, which stay the same
+    while the stream runs: a user who comes again gets the rows that an earlier
+    batch of this run wrote, and the catalogue is scored once per user.
 
     With ``fold_in`` (the model's ridge) users the model has not seen get
     vectors too: least squares of all their ratings so far against the fixed item
@@ -136,15 +139,22 @@ def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataF
     nothing."""
     store, heard = path + "-exclusions", path + "-unseen"
     spark = user_factors.sparkSession
+    done: list[int] = []  # batches of this run
     if exclusions is not None:
         write_table(exclusions.distinct(), store, bucket_user=USER, buckets=EXCLUSION_BUCKETS)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         users = batch.select(USER).distinct()
         wanted = user_factors.join(users, USER, "left_semi")
-        own = None
+        own = copied = None
+        if earlier := [b for b in done if b != batch_id]:
+            before = latest_recommendations(spark, path, batches=earlier)
+            copied = before.join(wanted.select(USER), USER, "left_semi")
+            wanted = wanted.join(before.select(USER).distinct(), USER, "left_anti")
+        wanted = first = wanted.persist()
         if exclusions is not None:
-            hit = users.select(user_bucket(USER, EXCLUSION_BUCKETS).alias("b")).distinct().collect()  # few buckets
+            ids = first.select(F.col(USER).cast(exclusions.schema[USER].dataType).alias(USER))  # hashed as they were stored
+            hit = ids.select(user_bucket(USER, EXCLUSION_BUCKETS).alias("b")).distinct().collect()  # few buckets
             own = spark.read.parquet(store).where(F.col("user_bucket").isin([r["b"] for r in hit])).drop("user_bucket")
         if fold_in is not None:
             unseen = batch.select(USER, ITEM, RATING).join(user_factors, USER, "left_anti").withColumn(
@@ -162,16 +172,24 @@ def refresh_topk(stream: DataFrame, user_factors: DataFrame, item_factors: DataF
             own = rated if own is None else own.select(USER, ITEM).unionByName(rated)
             new.unpersist()
         recs = scoring.topk_vectors(wanted, item_factors, k, exclusions=own)
+        if copied is not None:
+            recs = recs.unionByName(copied)
         recs.write.mode("overwrite").parquet(os.path.join(path, f"batch_id={batch_id}"))
+        first.unpersist()
+        done.append(batch_id)
+        release_unused(spark)
 
     writer = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
-def latest_recommendations(spark: SparkSession, path: str, user: str = USER) -> DataFrame:
-    """Each user's recommendation rows from the latest batch that refreshed
-    that user (semi join on ``(user, last batch)``)."""
+def latest_recommendations(spark: SparkSession, path: str, user: str = USER,
+                           batches: Sequence[int] | None = None) -> DataFrame:
+    """Each user's recommendation rows from the latest batch (of ``batches``,
+    if given) that refreshed that user (semi join on ``(user, last batch)``)."""
     df = spark.read.parquet(path)
+    if batches is not None:
+        df = df.where(F.col("batch_id").isin(list(batches)))
     last = df.groupBy(user).agg(F.max("batch_id").alias("batch_id"))
     return df.join(last, [user, "batch_id"], "left_semi").drop("batch_id")
